@@ -215,4 +215,20 @@ FROM catsess""",
 SELECT count(*) AS n, count(*) FILTER (WHERE main_category = label_category) AS correct,
        avg(CASE WHEN main_category = label_category THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy
 FROM catsess""",
+    "feature_auc": _BASE + """
+, long AS (
+  SELECT 'num_views' AS feature, CAST(num_views AS DOUBLE) AS score, label FROM labeled
+  UNION ALL SELECT 'num_cart_adds', CAST(num_cart_adds AS DOUBLE), label FROM labeled
+  UNION ALL SELECT 'unique_categories', CAST(unique_categories AS DOUBLE), label FROM labeled),
+ps AS (
+  SELECT feature, score, count(*) FILTER (WHERE label = 1) AS pos,
+         count(*) FILTER (WHERE label = 0) AS neg FROM long GROUP BY feature, score),
+cum AS (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY score
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+  FROM ps)
+SELECT feature, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+       sum(CAST(pos AS DOUBLE) * (CAST(neg_below AS DOUBLE) + CAST(neg AS DOUBLE) * 0.5::DOUBLE))
+         / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
+FROM cum GROUP BY feature""",
 }

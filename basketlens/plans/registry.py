@@ -12,18 +12,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.ml.functions import vector_to_array
+
 from basketlens.functions.columns import in_train_split
+from basketlens.operators import models
+from basketlens.operators.evaluation import accuracy, feature_auc
+from basketlens.operators.features import (fit_category_features, fit_intent_features, label_map,
+                                           onehot_slots, split_train_test)
+from basketlens.operators.scoring import (decode_predictions, feature_importances,
+                                          purchase_uplift, score_category, score_intent)
 from basketlens.operators import funnel as fn
 from basketlens.operators.clean import categorized_events
 from basketlens.operators.sessions import (purchase_labels, session_category_counts,
                                            session_main_category)
-from basketlens.plans import tables
+from basketlens.plans import tables, training
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
 from basketlens.session import scratch_path
 from basketlens.sources.events import sample_sessions
 from basketlens.sources.messages import (decode_session_messages, encode_session_messages,
                                          with_message_defaults)
-from basketlens.sources.sinks import write_table
+from basketlens.sources.sinks import scored_columns, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +145,167 @@ def q_main_category_accuracy(spark, sf_dir):
                   F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("accuracy"))
 
 
+
+# ---------------------------------------------------------------------------
+# Feature pipeline, label maps, training, scoring (MLlib)
+# ---------------------------------------------------------------------------
+def _intent_features(spark, sf_dir):
+    lab = tables.labeled(spark, sf_dir)
+    return lab, fit_intent_features(lab)
+
+
+def q_label_map(spark, sf_dir):
+    _, fitted = _intent_features(spark, sf_dir)
+    return label_map(spark, fitted)
+
+
+def q_category_label_map(spark, sf_dir):
+    cs = tables.features(spark, sf_dir, include_labels=True)
+    return label_map(spark, fit_category_features(cs))
+
+
+def q_indexed_sessions(spark, sf_dir):
+    lab, fitted = _intent_features(spark, sf_dir)
+    return fitted.transform(lab).select("user_session", "main_category", "main_category_index")
+
+
+def q_category_sessions_indexed(spark, sf_dir):
+    cs = tables.features(spark, sf_dir, include_labels=True)
+    return fit_category_features(cs).transform(cs).select("user_session", "label_category", "label")
+
+
+def q_onehot(spark, sf_dir):
+    lab, fitted = _intent_features(spark, sf_dir)
+    return onehot_slots(fitted.transform(lab))
+
+
+def q_assembled(spark, sf_dir):
+    lab, fitted = _intent_features(spark, sf_dir)
+    return fitted.transform(lab).select("user_session", vector_to_array("features").alias("features"))
+
+
+def q_feature_auc(spark, sf_dir):
+    return feature_auc(tables.labeled(spark, sf_dir),
+                       ["num_views", "num_cart_adds", "unique_categories"])
+
+
+QUICK_INTENT = training.first_points(models.INTENT_GRIDS)
+QUICK_CATEGORY = training.first_points(models.CATEGORY_GRIDS)
+RUN_COLUMNS = ["task", "model", "params", "auc", "pr_auc", "accuracy"]
+
+
+def _train_one(model: str):
+    def q(spark, sf_dir):
+        runs = training.train(spark, sf_dir, "intent", {model: QUICK_INTENT[model]})
+        return runs.filter(F.col("model") == model).select(*RUN_COLUMNS)
+    q.__name__ = f"q_train_{model}"
+    return q
+
+
+def _runs(spark, sf_dir):
+    training.train(spark, sf_dir, "intent", QUICK_INTENT)
+    training.train(spark, sf_dir, "category", QUICK_CATEGORY)
+    return models.read_runs(spark, training.runs_path(spark, sf_dir))
+
+
+def q_train_category(spark, sf_dir):
+    return training.train(spark, sf_dir, "category", QUICK_CATEGORY).select(*RUN_COLUMNS)
+
+
+def q_append_results(spark, sf_dir):
+    return _runs(spark, sf_dir).select("run_id", *RUN_COLUMNS, "model_path")
+
+
+def q_pending_grid(spark, sf_dir):
+    _runs(spark, sf_dir)
+    rp = training.runs_path(spark, sf_dir)
+    return (models.pending_grid(spark, "intent", models.INTENT_GRIDS, rp)
+            .unionByName(models.pending_grid(spark, "category", models.CATEGORY_GRIDS, rp)))
+
+
+def q_best_grid_row(spark, sf_dir):
+    return models.best_grid_row(_runs(spark, sf_dir)).select(*RUN_COLUMNS)
+
+
+def q_best_model(spark, sf_dir):
+    return models.best_model(_runs(spark, sf_dir), "intent").select(*RUN_COLUMNS)
+
+
+def q_best_run(spark, sf_dir):
+    return models.best_model(_runs(spark, sf_dir), "category").select(*RUN_COLUMNS)
+
+
+def q_model_scores(spark, sf_dir):
+    return models.model_scores(_runs(spark, sf_dir), "intent")
+
+
+def q_best_per_model(spark, sf_dir):
+    return models.best_per_model(_runs(spark, sf_dir), "category")
+
+
+def _intent_test(spark, sf_dir):
+    model, _ = training.best_pipeline(spark, sf_dir, "intent", QUICK_INTENT)
+    _, test = split_train_test(training.intent_sessions(spark, sf_dir))
+    return model, test
+
+
+def _category_test(spark, sf_dir):
+    model, _ = training.best_pipeline(spark, sf_dir, "category", QUICK_CATEGORY)
+    _, test = split_train_test(training.category_sessions(spark, sf_dir))
+    return model, test
+
+
+def q_scored_sessions(spark, sf_dir):
+    model, test = _intent_test(spark, sf_dir)
+    scored = score_intent(model, test)
+    return scored.select(*scored_columns(scored))
+
+
+def q_purchase_probability(spark, sf_dir):
+    model, test = _intent_test(spark, sf_dir)
+    return score_intent(model, test).select("user_session", "label", "prediction", "purchase_prob")
+
+
+def q_prediction_histogram(spark, sf_dir):
+    model, test = _intent_test(spark, sf_dir)
+    return fn.prediction_histogram(score_intent(model, test))
+
+
+def q_auc(spark, sf_dir):
+    model, test = _intent_test(spark, sf_dir)
+    m = models.evaluate("intent", model.transform(test))
+    return spark.createDataFrame([(m["auc"], m["pr_auc"])], "auc double, pr_auc double")
+
+
+def q_accuracy(spark, sf_dir):
+    model, test = _category_test(spark, sf_dir)
+    return accuracy(model.transform(test))
+
+
+def q_top3_categories(spark, sf_dir):
+    model, test = _category_test(spark, sf_dir)
+    return score_category(model, test).select(
+        "user_session", "label_category", "predicted_category",
+        "top3_category_indices", "top3_categories")
+
+
+def q_decoded_predictions(spark, sf_dir):
+    model, test = _category_test(spark, sf_dir)
+    return decode_predictions(model.transform(test), label_map(spark, model)).select(
+        "user_session", "label_category", "prediction", "predicted_category")
+
+
+def q_feature_importances(spark, sf_dir):
+    runs = training.train(spark, sf_dir, "intent", {"rf": QUICK_INTENT["rf"]})
+    row = models.best_grid_row(runs.filter(F.col("model") == "rf")).first()
+    return feature_importances(spark, models.load_run_model(row), "intent")
+
+
+def q_what_if(spark, sf_dir):
+    model, test = _intent_test(spark, sf_dir)
+    return purchase_uplift(model, test, extra_cart_adds=1)
+
+
 QUERIES: dict[str, Query] = {
     "load_events": q_load_events,
     "clean_events": q_clean_events,
@@ -160,4 +329,33 @@ QUERIES: dict[str, Query] = {
     "session_messages": q_session_messages,
     "defaulted_sessions": q_defaulted_sessions,
     "main_category_accuracy": q_main_category_accuracy,
+    "label_map": q_label_map,
+    "category_label_map": q_category_label_map,
+    "indexed_sessions": q_indexed_sessions,
+    "category_sessions_indexed": q_category_sessions_indexed,
+    "onehot": q_onehot,
+    "assembled": q_assembled,
+    "feature_auc": q_feature_auc,
+    "train_rf": _train_one("rf"),
+    "train_lr": _train_one("lr"),
+    "train_dt": _train_one("dt"),
+    "train_nb": _train_one("nb"),
+    "train_gbt": _train_one("gbt"),
+    "train_category": q_train_category,
+    "append_results": q_append_results,
+    "pending_grid": q_pending_grid,
+    "best_grid_row": q_best_grid_row,
+    "best_model": q_best_model,
+    "best_run": q_best_run,
+    "model_scores": q_model_scores,
+    "best_per_model": q_best_per_model,
+    "scored_sessions": q_scored_sessions,
+    "purchase_probability": q_purchase_probability,
+    "prediction_histogram": q_prediction_histogram,
+    "auc": q_auc,
+    "accuracy": q_accuracy,
+    "top3_categories": q_top3_categories,
+    "decoded_predictions": q_decoded_predictions,
+    "feature_importances": q_feature_importances,
+    "what_if": q_what_if,
 }
