@@ -47,18 +47,27 @@ def intent_feature_stages() -> list:
 
 
 def category_feature_stages() -> list:
-    """Model 2: six numeric features; the label index comes from label_category
-    (frequency order, ties alphabetical).  Rows with an unseen label are
-    skipped while training; at serving time the label column is absent and
-    the indexer stage passes the frame through."""
+    """Model 2: the six numeric features (NULL -> 0) as one vector."""
     return [
-        StringIndexer(inputCol="label_category", outputCol="label", handleInvalid="skip",
-                      stringOrderType="frequencyDesc"),
         _filled(CATEGORY_FEATURES),
         VectorAssembler(inputCols=[f"f_{c}" for c in CATEGORY_FEATURES], outputCol="features"),
     ]
 
 
+def category_label_indexer() -> StringIndexer:
+    """Class index of label_category: frequency order, ties alphabetical; rows
+    with an unseen label are skipped.  Fitted on the whole category frame
+    before the split (as the original) and kept out of the serving pipeline
+    (serving frames have no label); the class names travel with the pipeline
+    in its final IndexToString stage."""
+    return StringIndexer(inputCol="label_category", outputCol="label", handleInvalid="skip",
+                         stringOrderType="frequencyDesc")
+
+
+def fit_category_labels(df: DataFrame):
+    return category_label_indexer().fit(df)
+
+
 def feature_names(task: str, labels: list[str]) -> list[str]:
     """Names of the vector slots, in order (for importances)."""
     if task == "intent":
@@ -70,20 +79,20 @@ def fit_intent_features(df: DataFrame) -> PipelineModel:
     return Pipeline(stages=intent_feature_stages()).fit(df)
 
 
-def fit_category_features(df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=category_feature_stages()).fit(df)
-
-
-def indexer_labels(model: PipelineModel) -> list[str]:
-    """Labels of the first StringIndexer in a fitted pipeline (class order)."""
-    from pyspark.ml.feature import StringIndexerModel
-    for st in model.stages:
+def indexer_labels(model) -> list[str]:
+    """Class order of a fitted indexer, or of a pipeline's first StringIndexer
+    / IndexToString stage."""
+    from pyspark.ml.feature import IndexToString, StringIndexerModel
+    stages = model.stages if isinstance(model, PipelineModel) else [model]
+    for st in stages:
         if isinstance(st, StringIndexerModel):
             return list(st.labels)
-    raise ValueError("pipeline has no fitted StringIndexer")
+        if isinstance(st, IndexToString):
+            return list(st.getLabels())
+    raise ValueError("no fitted StringIndexer / IndexToString")
 
 
-def label_map(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def label_map(spark: SparkSession, model) -> DataFrame:
     """(index, category) of a fitted indexer, ordered by index.
 
     The label array is model state of bounded size (the category vocabulary);

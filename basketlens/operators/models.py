@@ -25,6 +25,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pyspark.ml.feature import IndexToString
+
 from basketlens.operators.features import category_feature_stages, intent_feature_stages
 from basketlens.schemas import RUNS_SCHEMA
 
@@ -82,9 +84,14 @@ def make_estimator(task: str, model: str, point: Sequence):
     return _ESTIMATORS[model](featuresCol="features", labelCol="label", **kwargs)
 
 
-def make_pipeline(task: str, model: str, point: Sequence) -> Pipeline:
-    stages = intent_feature_stages() if task == "intent" else category_feature_stages()
-    return Pipeline(stages=[*stages, make_estimator(task, model, point)])
+def make_pipeline(task: str, model: str, point: Sequence,
+                  labels: Sequence[str] | None = None) -> Pipeline:
+    """Feature stages + classifier (+ for categories: index -> class name)."""
+    if task == "intent":
+        return Pipeline(stages=[*intent_feature_stages(), make_estimator(task, model, point)])
+    return Pipeline(stages=[*category_feature_stages(), make_estimator(task, model, point),
+                            IndexToString(inputCol="prediction", outputCol="predicted_category",
+                                          labels=list(labels or []))])
 
 
 def evaluate(task: str, predictions: DataFrame) -> dict[str, float | None]:
@@ -120,13 +127,16 @@ def pending_grid(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
 
 
 def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
-                train: DataFrame, test: DataFrame, runs_path: str, model_root: str) -> DataFrame:
+                train: DataFrame, test: DataFrame, runs_path: str, model_root: str,
+                labels: Sequence[str] | None = None) -> DataFrame:
     """Fit every pending grid point, append one run row per fit, save each
     fitted pipeline; return the runs rows of this task.
 
     The loop is over model configurations (a fixed, small list); every fit
     and evaluation inside it is a distributed Spark job.  The caller passes
-    train / test frames that are cheap to re-read (a written table).
+    train / test frames that are cheap to re-read (a written table); for the
+    category task they carry the class index ``label`` and ``labels`` names
+    the classes in index order.
     """
     pend = {(r["model"], r["params"]) for r in
             pending_grid(spark, task, grids, runs_path).collect()}
@@ -138,7 +148,7 @@ def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
                 key = params_key(point)
                 if (model, key) not in pend:
                     continue
-                fitted = make_pipeline(task, model, point).fit(train)
+                fitted = make_pipeline(task, model, point, labels).fit(train)
                 metrics = evaluate(task, fitted.transform(test))
                 run_id = f"{task}-{model}-{key}-{uuid.uuid4().hex[:8]}"
                 path = f"{model_root}/{run_id}"

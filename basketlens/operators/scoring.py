@@ -46,6 +46,7 @@ def decode_predictions(scored: DataFrame, labels: DataFrame,
     'unknown' when absent.  The map side is the category vocabulary; Spark
     broadcasts it by measured size."""
     m = labels.select(F.col("index").cast("double").alias("_idx"), F.col("category").alias(out_col))
+    scored = scored.drop(out_col)
     return (scored.join(m, scored[index_col] == m["_idx"], "left").drop("_idx")
                   .withColumn(out_col, F.coalesce(F.col(out_col), F.lit("unknown"))))
 

@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from basketlens.functions.columns import in_train_split
 from basketlens.operators import models
 from basketlens.operators.evaluation import accuracy, feature_auc
-from basketlens.operators.features import (fit_category_features, fit_intent_features, label_map,
+from basketlens.operators.features import (fit_category_labels, fit_intent_features, label_map,
                                            onehot_slots, split_train_test)
 from basketlens.operators.scoring import (decode_predictions, feature_importances,
                                           purchase_uplift, score_category, score_intent)
@@ -25,7 +25,8 @@ from basketlens.operators import funnel as fn
 from basketlens.operators.clean import categorized_events
 from basketlens.operators.sessions import (purchase_labels, session_category_counts,
                                            session_main_category)
-from basketlens.plans import tables, training
+from basketlens.plans import streams, tables, training
+from basketlens.plans.registry_support import QUICK_CATEGORY, QUICK_INTENT
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
 from basketlens.session import scratch_path
 from basketlens.sources.events import sample_sessions
@@ -161,7 +162,7 @@ def q_label_map(spark, sf_dir):
 
 def q_category_label_map(spark, sf_dir):
     cs = tables.features(spark, sf_dir, include_labels=True)
-    return label_map(spark, fit_category_features(cs))
+    return label_map(spark, fit_category_labels(cs))
 
 
 def q_indexed_sessions(spark, sf_dir):
@@ -171,7 +172,7 @@ def q_indexed_sessions(spark, sf_dir):
 
 def q_category_sessions_indexed(spark, sf_dir):
     cs = tables.features(spark, sf_dir, include_labels=True)
-    return fit_category_features(cs).transform(cs).select("user_session", "label_category", "label")
+    return fit_category_labels(cs).transform(cs).select("user_session", "label_category", "label")
 
 
 def q_onehot(spark, sf_dir):
@@ -189,8 +190,6 @@ def q_feature_auc(spark, sf_dir):
                        ["num_views", "num_cart_adds", "unique_categories"])
 
 
-QUICK_INTENT = training.first_points(models.INTENT_GRIDS)
-QUICK_CATEGORY = training.first_points(models.CATEGORY_GRIDS)
 RUN_COLUMNS = ["task", "model", "params", "auc", "pr_auc", "accuracy"]
 
 
@@ -251,7 +250,8 @@ def _intent_test(spark, sf_dir):
 
 def _category_test(spark, sf_dir):
     model, _ = training.best_pipeline(spark, sf_dir, "category", QUICK_CATEGORY)
-    _, test = split_train_test(training.category_sessions(spark, sf_dir))
+    cs = training.category_sessions(spark, sf_dir)
+    _, test = split_train_test(fit_category_labels(cs).transform(cs))
     return model, test
 
 
@@ -279,7 +279,7 @@ def q_auc(spark, sf_dir):
 
 def q_accuracy(spark, sf_dir):
     model, test = _category_test(spark, sf_dir)
-    return accuracy(model.transform(test))
+    return accuracy(model.transform(test))  # test carries the class index ``label``
 
 
 def q_top3_categories(spark, sf_dir):
@@ -306,6 +306,36 @@ def q_what_if(spark, sf_dir):
     return purchase_uplift(model, test, extra_cart_adds=1)
 
 
+# ---------------------------------------------------------------------------
+# Streaming (file source + availableNow; Kafka is the same transform)
+# ---------------------------------------------------------------------------
+def q_stream_source(spark, sf_dir):
+    return streams.stream_source(spark, sf_dir)
+
+
+def q_stream_scores(spark, sf_dir):
+    paths = streams.run_scoring(spark, sf_dir)
+    return streams.read_output(spark, paths["scored"]).drop("batch_id")
+
+
+def q_stream_sink(spark, sf_dir):
+    return streams.stream_sink(spark, sf_dir)
+
+
+def q_stream_threshold(spark, sf_dir):
+    paths = streams.run_scoring(spark, sf_dir, replays=2, threshold=2)
+    return streams.read_output(spark, paths["scored"]).drop("batch_id")
+
+
+def q_stream_quarantine(spark, sf_dir):
+    paths = streams.run_scoring(spark, sf_dir, foreign=True)
+    return streams.read_output(spark, paths["quarantine"]).drop("batch_id")
+
+
+def q_stream_session_features(spark, sf_dir):
+    return streams.stream_session_features(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "load_events": q_load_events,
     "clean_events": q_clean_events,
@@ -358,4 +388,10 @@ QUERIES: dict[str, Query] = {
     "decoded_predictions": q_decoded_predictions,
     "feature_importances": q_feature_importances,
     "what_if": q_what_if,
+    "stream_source": q_stream_source,
+    "stream_scores": q_stream_scores,
+    "stream_sink": q_stream_sink,
+    "stream_threshold": q_stream_threshold,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_session_features": q_stream_session_features,
 }

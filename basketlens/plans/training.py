@@ -13,11 +13,11 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.operators import models
-from basketlens.operators.features import split_train_test
+from basketlens.operators.features import fit_category_labels, split_train_test
 from basketlens.plans import tables
 from basketlens.session import scratch_root
 
-LAYOUT_VERSION = "v1"
+LAYOUT_VERSION = "v2"
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> str:
@@ -62,13 +62,16 @@ def first_points(grids: dict[str, list[tuple]], models_: list[str] | None = None
 def train(spark: SparkSession, sf_dir: str, task: str,
           grids: dict[str, list[tuple]] | None = None) -> DataFrame:
     """Run (or resume) a grid search for a task; returns that task's runs."""
+    labels = None
     if task == "intent":
         data, grids = intent_sessions(spark, sf_dir), grids or models.INTENT_GRIDS
     else:
         data, grids = category_sessions(spark, sf_dir), grids or models.CATEGORY_GRIDS
+        indexer = fit_category_labels(data)     # one distributed count per category
+        labels, data = list(indexer.labels), indexer.transform(data)
     tr, te = split_train_test(data)
     return models.grid_search(spark, task, grids, tr, te, runs_path(spark, sf_dir),
-                              model_root(spark, sf_dir))
+                              model_root(spark, sf_dir), labels)
 
 
 def best_pipeline(spark: SparkSession, sf_dir: str, task: str,

@@ -56,8 +56,13 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     broadcasts the product side only when its measured size is under the
     broadcast threshold, and falls back to a shuffle join otherwise.
     """
-    ev = read_table(spark, sf_dir, "events")
-    products = product_categories(read_table(spark, sf_dir, "part"))
+    return adapt_events(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part"))
+
+
+def adapt_events(ev: DataFrame, part: DataFrame) -> DataFrame:
+    """The adapter on given frames; ``ev`` may be a streaming DataFrame (the
+    product join is then a stream-static left join)."""
+    products = product_categories(part)
     k = F.get_json_object("props", "$.k").cast("int")
     staged = ev.select(
         "event_id",
@@ -97,6 +102,19 @@ def sample_sessions(df: DataFrame, per_mille: int = int(SAMPLE_FRACTION * 1000),
     return df.filter(sample_sessions_flag(key, per_mille))
 
 
+def stream_events_from_tables(spark: SparkSession, sf_dir: str,
+                              max_files_per_trigger: int | None = None) -> DataFrame:
+    """The event table as a stream (file source over its Parquet path), mapped
+    onto raw shop events like the batch adapter."""
+    base = sf_dir.rstrip("/")
+    schema = read_table(spark, sf_dir, "events").schema
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    # a glob: the file source watches a folder, and this table is one file in it
+    return adapt_events(r.parquet(f"{base}/events*.parquet"), read_table(spark, sf_dir, "part"))
+
+
 def read_scored_sessions(spark: SparkSession, path: str) -> DataFrame:
     """Read the scored-session table back; a store-assigned id is dropped."""
     return spark.read.parquet(path).drop("_id")
