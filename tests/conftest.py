@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+# F1 raw shop events (see FIXTURES.md), as the CSV file holds them
+F1_CSV = """event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session
+2024-01-01 10:00:00.9,view,1,1,toys.blocks,b,10.0,1,a
+2024-01-01 10:01:00.1,cart,1,1,toys.blocks,b,10.0,1,a
+2024-01-01 10:00:30,view,2,2,garden,b,20.0,1,a
+2024-01-01 11:00:00,view,1,1,toys.blocks,b,5.0,2,b
+2024-01-01 11:00:05,view,3,3,garden.hose,b,7.0,2,b
+2024-01-01 12:00:00,view,3,3,garden.hose,b,7.0,3,c
+2024-01-01 12:00:10,purchase,4,4,,b,9.0,3,c
+2024-01-01 13:00:00,purchase,1,1,toys.blocks,b,,4,d
+2024-01-01 14:00:00,purchase,5,5,toys.car,b,3.0,5,e
+2024-01-01 14:00:01,purchase,3,3,garden.hose,b,4.0,5,e
+2024-01-01 15:00:00,signup,5,5,toys.car,b,1.0,6,f
+2024-01-01 15:00:00,view,5,5,toys.car,b,1.0,,g
+2024-01-01 15:00:00,view,5,5,toys.car,b,1.0,7,
+not a time,view,5,5,toys.car,b,1.0,8,h
+"""
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from basketlens.session import get_spark
+    s = get_spark("local[4]", shuffle_partitions=8)
+    if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bl-ckpt-"))
+    yield s
+
+
+@pytest.fixture()
+def workdir():
+    return tempfile.mkdtemp(prefix="bl-test-")
+
+
+@pytest.fixture(scope="session")
+def f1_events(spark):
+    from basketlens.sources.events import load_events_csv
+    d = tempfile.mkdtemp(prefix="bl-f1-")
+    path = f"{d}/events.csv"
+    Path(path).write_text(F1_CSV)
+    return load_events_csv(spark, path)
