@@ -29,7 +29,7 @@ from basketlens.plans import streams, tables, training
 from basketlens.plans.registry_support import QUICK_CATEGORY, QUICK_INTENT
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
 from basketlens.session import scratch_path
-from basketlens.sources.events import sample_sessions
+from basketlens.sources.events import sample_rows, sample_sessions
 from basketlens.sources.messages import (decode_session_messages, encode_session_messages,
                                          with_message_defaults)
 from basketlens.sources.sinks import scored_columns, write_table
@@ -63,6 +63,12 @@ def q_sample_sessions(spark, sf_dir):
     return sample_sessions(tables.raw_events(spark, sf_dir))
 
 
+def q_sample_rows(spark, sf_dir):
+    """A2 as the original: seeded 2.5 % Bernoulli row sample (Spark's sampler,
+    so no SQL oracle; the session-preserving form has one)."""
+    return sample_rows(tables.raw_events(spark, sf_dir))
+
+
 def q_session_category_counts(spark, sf_dir):
     lvl = session_category_counts(tables.clean(spark, sf_dir))
     return (lvl.filter(F.col("category_main").isNotNull())
@@ -342,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "categorized_events": q_categorized_events,
     "event_counts": q_event_counts,
     "sample_sessions": q_sample_sessions,
+    "sample_rows": q_sample_rows,
     "session_category_counts": q_session_category_counts,
     "session_main_category": q_session_main_category,
     "purchase_labels": q_purchase_labels,

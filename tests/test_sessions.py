@@ -103,3 +103,24 @@ def test_session_counts_add_up(spark):
     tot = feats.agg(F.sum(F.col("num_views") + F.col("num_cart_adds") + F.col("num_purchases"))).first()[0]
     assert tot == categorized_events(clean).count()
     assert feats.filter("unique_categories < 1").count() == 0
+
+
+def test_sinks_replace_all_and_read_back(spark, workdir):
+    from basketlens.sources.events import read_scored_sessions, sample_rows, sample_sessions
+    from basketlens.sources.sinks import save_scored_sessions, write_table
+    lab = tables.labeled(spark, SF_SMALL)
+    path = f"{workdir}/predicted_intents"
+    save_scored_sessions(lab.withColumn("_id", F.lit(1)), path)
+    save_scored_sessions(lab.limit(10), path)                   # replace-all
+    back = read_scored_sessions(spark, path)
+    assert back.count() == 10 and "_id" not in back.columns
+    assert "purchase_prob" not in back.columns and "label" in back.columns
+    src = spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        write_table(src, path)                                  # never overwrite the input
+    raw = tables.raw_events(spark, SF_SMALL)
+    s = sample_sessions(raw, per_mille=500)
+    inside = s.select("user_session").distinct()
+    whole = raw.join(inside, "user_session", "left_semi")
+    assert whole.count() == s.count()                           # sessions kept whole
+    assert sample_rows(raw).count() < raw.count()
