@@ -231,4 +231,7 @@ SELECT feature, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT)
        sum(CAST(pos AS DOUBLE) * (CAST(neg_below AS DOUBLE) + CAST(neg AS DOUBLE) * 0.5::DOUBLE))
          / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
 FROM cum GROUP BY feature""",
+    "stream_source": _BASE + f"""
+SELECT {_FEATURE_COLS}, label_category, true AS _valid FROM catsess""",
+    "stream_quarantine": "SELECT props AS value FROM events",
 }

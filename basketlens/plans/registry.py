@@ -316,7 +316,7 @@ def q_what_if(spark, sf_dir):
 # Streaming (file source + availableNow; Kafka is the same transform)
 # ---------------------------------------------------------------------------
 def q_stream_source(spark, sf_dir):
-    return streams.stream_source(spark, sf_dir)
+    return tables.rounded_price(streams.stream_source(spark, sf_dir))
 
 
 def q_stream_scores(spark, sf_dir):
@@ -335,7 +335,7 @@ def q_stream_threshold(spark, sf_dir):
 
 def q_stream_quarantine(spark, sf_dir):
     paths = streams.run_scoring(spark, sf_dir, foreign=True)
-    return streams.read_output(spark, paths["quarantine"]).drop("batch_id")
+    return streams.read_output(spark, paths["quarantine"]).select("value")
 
 
 def q_stream_session_features(spark, sf_dir):
