@@ -118,11 +118,12 @@ def q_category_conversion(spark, sf_dir):
 
 
 def q_price_histogram(spark, sf_dir):
-    return fn.price_histogram(tables.rounded_price(tables.labeled(spark, sf_dir)))
+    """Reports read the stored session table (written once per dataset)."""
+    return fn.price_histogram(tables.rounded_price(training.intent_sessions(spark, sf_dir)))
 
 
 def q_duration_price_grid(spark, sf_dir):
-    return fn.duration_price_grid(tables.rounded_price(tables.labeled(spark, sf_dir)))
+    return fn.duration_price_grid(tables.rounded_price(training.intent_sessions(spark, sf_dir)))
 
 
 def q_split_counts(spark, sf_dir):
