@@ -156,11 +156,11 @@ def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
                 pmap = {n: float(v) for n, v in zip(PARAM_NAMES[(task, model)], point)
                         if isinstance(v, (int, float))}
                 row = spark.createDataFrame(
-                    [(run_id, task, model, key, pmap, metrics["auc"], metrics["pr_auc"],
-                      metrics["accuracy"], path)],
+                    [(run_id, task, model, key, pmap, estimator_params_json(fitted),
+                      metrics["auc"], metrics["pr_auc"], metrics["accuracy"], path)],
                     "run_id string, task string, model string, params string, "
-                    "param_map map<string,double>, auc double, pr_auc double, "
-                    "accuracy double, model_path string")
+                    "param_map map<string,double>, model_params string, auc double, "
+                    "pr_auc double, accuracy double, model_path string")
                 append_run(row.withColumn("trained_at", F.current_timestamp()), runs_path)
     finally:
         train.unpersist()
@@ -168,6 +168,15 @@ def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
     return read_runs(spark, runs_path).filter(F.col("task") == task)
 
 
+def estimator_params_json(fitted: PipelineModel) -> str:
+    """Every parameter of the fitted classifier stage, as JSON text."""
+    import json
+    est = next(st for st in reversed(fitted.stages) if hasattr(st, "extractParamMap")
+               and type(st).__name__.endswith("Model"))
+    return json.dumps({p.name: v for p, v in est.extractParamMap().items()},
+                      sort_keys=True, default=str)
+
+
 def append_run(row: DataFrame, runs_path: str) -> None:
     """G1: append result rows to the runs table."""
     row.select(*[f.name for f in RUNS_SCHEMA.fields]).write.mode("append").parquet(runs_path)

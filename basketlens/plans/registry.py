@@ -158,7 +158,9 @@ def q_main_category_accuracy(spark, sf_dir):
 # Feature pipeline, label maps, training, scoring (MLlib)
 # ---------------------------------------------------------------------------
 def _intent_features(spark, sf_dir):
-    lab = tables.labeled(spark, sf_dir)
+    """Fit on the stored session table, as training does (fit + transform are
+    two passes; over a written table the second is a pruned scan)."""
+    lab = training.intent_sessions(spark, sf_dir)
     return lab, fit_intent_features(lab)
 
 
@@ -168,7 +170,7 @@ def q_label_map(spark, sf_dir):
 
 
 def q_category_label_map(spark, sf_dir):
-    cs = tables.features(spark, sf_dir, include_labels=True)
+    cs = training.category_sessions(spark, sf_dir)
     return label_map(spark, fit_category_labels(cs))
 
 
@@ -178,7 +180,7 @@ def q_indexed_sessions(spark, sf_dir):
 
 
 def q_category_sessions_indexed(spark, sf_dir):
-    cs = tables.features(spark, sf_dir, include_labels=True)
+    cs = training.category_sessions(spark, sf_dir)
     return fit_category_labels(cs).transform(cs).select("user_session", "label_category", "label")
 
 

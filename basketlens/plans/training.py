@@ -17,7 +17,8 @@ from basketlens.operators.features import fit_category_labels, split_train_test
 from basketlens.plans import tables
 from basketlens.session import scratch_root
 
-LAYOUT_VERSION = "v2"
+# bump when the session tables or the runs schema change (stale tables are never reused)
+LAYOUT_VERSION = "v3"
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> str:

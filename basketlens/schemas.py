@@ -93,6 +93,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),         # rf lr dt nb gbt
     T.StructField("params", T.StringType()),        # display key, "_"-joined
     T.StructField("param_map", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("model_params", T.StringType()),  # JSON: every param of the fitted estimator
     T.StructField("auc", T.DoubleType()),
     T.StructField("pr_auc", T.DoubleType()),
     T.StructField("accuracy", T.DoubleType()),

@@ -113,3 +113,18 @@ def test_evaluator_close_to_exact_auc(spark, workdir):
     ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label")
     exact = exact_auc(df, "score").first()["auc"]
     assert abs(ev.evaluate(df.withColumn("label", F.col("label").cast("double"))) - exact) < 1e-9
+
+
+def test_runs_lookup_by_params_and_metadata(spark, workdir):
+    import json
+    lab = tables.labeled(spark, SF_SMALL)
+    tr, te = split_train_test(lab)
+    grid = {"lr": [(100, 0.01, 0.5)], "nb": [(0.5, "multinomial")]}
+    runs = models.grid_search(spark, "intent", grid, tr, te, f"{workdir}/runs", f"{workdir}/m")
+    hit = models.runs_with_params(runs, "intent", "lr", (100, 0.01, 0.5)).collect()
+    assert len(hit) == 1 and hit[0]["param_map"]["regParam"] == 0.01     # typed, not int-cast
+    meta = json.loads(hit[0]["model_params"])
+    assert meta["maxIter"] == 100 and meta["elasticNetParam"] == 0.5
+    nb = models.runs_with_params(runs, "intent", "nb", (0.5, "multinomial")).first()
+    assert json.loads(nb["model_params"])["modelType"] == "multinomial"
+    assert models.best_per_model(runs, "intent").count() == 2
