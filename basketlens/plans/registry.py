@@ -89,7 +89,7 @@ def q_session_features(spark, sf_dir):
 
 def q_write_read_features(spark, sf_dir):
     path = scratch_path(spark, "session_features")
-    write_table(tables.features(spark, sf_dir), path)
+    write_table(tables.features(spark, sf_dir), path, source_paths=[sf_dir])
     return tables.rounded_price(spark.read.parquet(path))
 
 

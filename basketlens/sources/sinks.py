@@ -16,17 +16,28 @@ from pyspark.sql import DataFrame
 from basketlens.schemas import SCORED_COLUMNS
 
 
-def _same_path(a: str, b: str) -> bool:
-    strip = lambda p: os.path.normpath(p.replace("file:", "")).rstrip("/")
-    return strip(a) == strip(b)
+def _norm(p: str) -> str:
+    return os.path.normpath(p.replace("file://", "").replace("file:", "")).rstrip("/")
+
+
+def _inside(child: str, parent: str) -> bool:
+    c, p = _norm(child), _norm(parent)
+    return c == p or c.startswith(p + "/")
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 source_paths: list[str] | None = None, partition_by: list[str] | None = None) -> str:
-    """Write a table; refuses to overwrite a path the frame reads from."""
-    for src in source_paths or df.inputFiles():
-        if mode == "overwrite" and (_same_path(src, path) or _same_path(os.path.dirname(src), path)):
-            raise ValueError(f"refusing to overwrite {path}: the frame reads from it")
+    """Write a table; refuses to overwrite a folder the frame reads from.
+
+    A path overwrite deletes the target before the job reads it, so writing
+    over one's own input loses the data.  Pass ``source_paths`` (the table
+    roots read) on large inputs; without them the frame's file list is
+    checked, which the driver has to fetch.
+    """
+    if mode == "overwrite":
+        for src in (source_paths if source_paths is not None else df.inputFiles()):
+            if _inside(src, path) or _inside(path, src):
+                raise ValueError(f"refusing to overwrite {path}: the frame reads from {src}")
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
