@@ -234,4 +234,14 @@ FROM cum GROUP BY feature""",
     "stream_source": _BASE + f"""
 SELECT {_FEATURE_COLS}, label_category, true AS _valid FROM catsess""",
     "stream_quarantine": "SELECT props AS value FROM events",
+    "test_split_funnel": _BASE + """
+, t AS (SELECT * FROM labeled WHERE NOT {split})
+SELECT '(all)' AS main_category, 'Viewed' AS stage, count(*) AS users FROM t
+UNION ALL SELECT '(all)', 'Cart Add', count(*) FILTER (WHERE num_cart_adds > 0) FROM t
+UNION ALL SELECT '(all)', 'Purchased', count(*) FILTER (WHERE label = 1) FROM t
+UNION ALL SELECT main_category, 'Viewed', count(*) FROM t GROUP BY main_category
+UNION ALL SELECT main_category, 'Cart Add', count(*) FILTER (WHERE num_cart_adds > 0) FROM t
+          GROUP BY main_category
+UNION ALL SELECT main_category, 'Purchased', count(*) FILTER (WHERE label = 1) FROM t
+          GROUP BY main_category""".replace("{split}", _HASH_SPLIT),
 }
