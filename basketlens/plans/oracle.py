@@ -125,6 +125,7 @@ FROM binned, b GROUP BY {by_sel}bin, b.lo, b.hi
 
 ORACLE_SQL: dict[str, str] = {
     "load_events": _BASE + "SELECT * FROM raw",
+    "load_events_csv": _BASE + "SELECT * EXCLUDE (event_id) FROM raw",
     "clean_events": _BASE + "SELECT * FROM clean",
     "categorized_events": _BASE + "SELECT * FROM cat",
     "event_counts": _BASE + """

@@ -29,7 +29,8 @@ from basketlens.plans import streams, tables, training
 from basketlens.plans.registry_support import QUICK_CATEGORY, QUICK_INTENT
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
 from basketlens.session import scratch_path
-from basketlens.sources.events import sample_rows, sample_sessions
+from basketlens.schemas import RAW_EVENT_CSV_SCHEMA
+from basketlens.sources.events import load_events_csv, sample_rows, sample_sessions
 from basketlens.sources.messages import (decode_session_messages, encode_session_messages,
                                          with_message_defaults)
 from basketlens.sources.sinks import scored_columns, write_table
@@ -63,6 +64,17 @@ def q_sample_sessions(spark, sf_dir):
     return sample_sessions(tables.raw_events(spark, sf_dir))
 
 
+def q_load_events_csv(spark, sf_dir):
+    """A1 over the real tables: events written as all-text header CSV (the
+    original's input format), read back through the declared-schema reader."""
+    path = scratch_path(spark, "events_csv")
+    raw = tables.raw_events(spark, sf_dir)
+    text = raw.select(*[(F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string"))
+                        .alias(c) for c in RAW_EVENT_CSV_SCHEMA.fieldNames()])
+    text.write.option("header", True).csv(path)
+    return load_events_csv(spark, path).drop("event_id")
+
+
 def q_sample_rows(spark, sf_dir):
     """A2 as the original: seeded 2.5 % Bernoulli row sample (Spark's sampler,
     so no SQL oracle; the session-preserving form has one)."""
@@ -360,6 +372,7 @@ def q_stream_session_features(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "load_events": q_load_events,
+    "load_events_csv": q_load_events_csv,
     "clean_events": q_clean_events,
     "categorized_events": q_categorized_events,
     "event_counts": q_event_counts,
