@@ -245,4 +245,39 @@ UNION ALL SELECT main_category, 'Cart Add', count(*) FILTER (WHERE num_cart_adds
           GROUP BY main_category
 UNION ALL SELECT main_category, 'Purchased', count(*) FILTER (WHERE label = 1) FROM t
           GROUP BY main_category""".replace("{split}", _HASH_SPLIT),
+    # 30-minute session windows per user_session over timed, categorised
+    # clean events; an availableNow run emits the windows that the final
+    # watermark (max event time - 1 hour) has closed: end <= watermark.
+    "stream_session_features": _BASE + """
+, tev AS (SELECT * FROM cat WHERE event_time IS NOT NULL),
+marked AS (
+  SELECT *, CASE WHEN lag(event_time) OVER (PARTITION BY user_session ORDER BY event_time, event_id)
+                      > event_time - INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new_sess
+  FROM tev),
+numbered AS (
+  SELECT *, sum(new_sess) OVER (PARTITION BY user_session ORDER BY event_time, event_id
+                                ROWS UNBOUNDED PRECEDING) AS sess_no
+  FROM marked),
+cc2 AS (
+  SELECT user_session, sess_no, category_main, count(*) AS n FROM numbered
+  GROUP BY ALL),
+top2 AS (
+  SELECT user_session, sess_no, category_main AS main_category FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_session, sess_no
+                                 ORDER BY n DESC, category_main) AS rn FROM cc2) WHERE rn = 1),
+w AS (
+  SELECT user_session, sess_no, min(event_time) AS window_start,
+         max(event_time) + INTERVAL 30 MINUTE AS window_end,
+         count(*) FILTER (WHERE event_type = 'view') AS num_views,
+         count(*) FILTER (WHERE event_type = 'cart') AS num_cart_adds,
+         count(*) FILTER (WHERE event_type = 'purchase') AS num_purchases,
+         min(event_time) AS session_start, max(event_time) AS session_end,
+         round(avg(price), 6) AS avg_price,
+         CAST(date_diff('second', min(event_time), max(event_time)) AS BIGINT) AS session_duration,
+         count(DISTINCT category_main) AS unique_categories
+  FROM numbered GROUP BY user_session, sess_no)
+SELECT w.user_session, window_start, window_end, num_views, num_cart_adds, num_purchases,
+       session_start, session_end, avg_price, session_duration, t.main_category, unique_categories
+FROM w JOIN top2 t USING (user_session, sess_no)
+WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM tev)""",
 }

@@ -367,7 +367,7 @@ def q_stream_quarantine(spark, sf_dir):
 
 
 def q_stream_session_features(spark, sf_dir):
-    return streams.stream_session_features(spark, sf_dir)
+    return tables.rounded_price(streams.stream_session_features(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {

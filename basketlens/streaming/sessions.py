@@ -37,9 +37,12 @@ def streaming_session_features(events: DataFrame, gap: str = "30 minutes",
         F.mode("category_main", True).alias("main_category"),
         F.size(F.collect_set("category_main")).cast("bigint").alias("unique_categories"),
     )
+    ntz = lambda c: F.col(c).cast("timestamp_ntz")  # noqa: E731  back to shop wall-clock time
     return agg.select(
-        "user_session", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "num_views", "num_cart_adds", "num_purchases", "session_start", "session_end", "avg_price",
+        "user_session", ntz("w.start").alias("window_start"), ntz("w.end").alias("window_end"),
+        "num_views", "num_cart_adds", "num_purchases",
+        ntz("session_start").alias("session_start"), ntz("session_end").alias("session_end"),
+        "avg_price",
         whole_seconds_between("session_start", "session_end").alias("session_duration"),
         F.coalesce("main_category", F.lit(UNKNOWN_CATEGORY)).alias("main_category"),
         "unique_categories")
