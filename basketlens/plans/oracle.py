@@ -280,4 +280,29 @@ SELECT w.user_session, window_start, window_end, num_views, num_cart_adds, num_p
        session_start, session_end, avg_price, session_duration, t.main_category, unique_categories
 FROM w JOIN top2 t USING (user_session, sess_no)
 WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM tev)""",
+    "pre_purchase_sessions": _BASE + """
+, fp AS (SELECT user_session, min(event_time) AS fpt FROM clean
+         WHERE event_type = 'purchase' AND event_time IS NOT NULL GROUP BY user_session),
+pcat AS (SELECT c.* FROM cat c LEFT JOIN fp USING (user_session)
+         WHERE fp.fpt IS NULL OR c.event_time < fp.fpt),
+pbase AS (
+  SELECT user_session,
+         count(*) FILTER (WHERE event_type = 'view') AS num_views,
+         count(*) FILTER (WHERE event_type = 'cart') AS num_cart_adds,
+         count(*) FILTER (WHERE event_type = 'purchase') AS num_purchases,
+         min(event_time) AS session_start, max(event_time) AS session_end, avg(price) AS avg_price
+  FROM pcat GROUP BY user_session),
+pcc AS (SELECT user_session, category_main, count(*) AS n FROM pcat GROUP BY ALL),
+ptop AS (
+  SELECT user_session, category_main AS main_category FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_session ORDER BY n DESC, category_main) AS rn
+    FROM pcc) WHERE rn = 1)
+SELECT b.user_session, b.num_views, b.num_cart_adds, b.num_purchases, b.session_start,
+       b.session_end, round(coalesce(b.avg_price, 0), 6) AS avg_price,
+       coalesce(CAST(date_diff('second', b.session_start, b.session_end) AS BIGINT), 0)
+         AS session_duration,
+       t.main_category, (SELECT count(*) FROM pcc WHERE pcc.user_session = b.user_session)
+         AS unique_categories,
+       coalesce(l.label, 0) AS label
+FROM pbase b JOIN ptop t USING (user_session) LEFT JOIN labels l USING (user_session)""",
 }

@@ -23,8 +23,8 @@ from basketlens.operators.scoring import (decode_predictions, feature_importance
                                           purchase_uplift, score_category, score_intent)
 from basketlens.operators import funnel as fn
 from basketlens.operators.clean import categorized_events
-from basketlens.operators.sessions import (purchase_labels, session_category_counts,
-                                           session_main_category)
+from basketlens.operators.sessions import (labeled_sessions, purchase_labels,
+                                           session_category_counts, session_main_category)
 from basketlens.plans import streams, tables, training
 from basketlens.plans.registry_support import QUICK_CATEGORY, QUICK_INTENT
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
@@ -109,6 +109,11 @@ def q_labeled_sessions(spark, sf_dir):
     return tables.rounded_price(tables.labeled(spark, sf_dir))
 
 
+def q_pre_purchase_sessions(spark, sf_dir):
+    """Q4 option: labeled sessions with features from pre-purchase events only."""
+    return tables.rounded_price(labeled_sessions(tables.clean(spark, sf_dir), pre_purchase_only=True))
+
+
 def q_category_sessions(spark, sf_dir):
     return tables.rounded_price(tables.features(spark, sf_dir, include_labels=True))
 
@@ -384,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "session_features": q_session_features,
     "write_read_features": q_write_read_features,
     "labeled_sessions": q_labeled_sessions,
+    "pre_purchase_sessions": q_pre_purchase_sessions,
     "category_sessions": q_category_sessions,
     "funnel": q_funnel,
     "funnel_dropoff": q_funnel_dropoff,

@@ -124,3 +124,12 @@ def test_sinks_replace_all_and_read_back(spark, workdir):
     whole = raw.join(inside, "user_session", "left_semi")
     assert whole.count() == s.count()                           # sessions kept whole
     assert sample_rows(raw).count() < raw.count()
+
+
+def test_pre_purchase_features_fixture(f1_events):
+    lab = _by_session(labeled_sessions(clean_events(f1_events), pre_purchase_only=True))
+    # d and e start with their purchase: nothing observed before it
+    assert set(lab) == {"a", "b", "c", "h"}
+    c = lab["c"]                       # the view before the (uncategorised) purchase
+    assert (c["num_views"], c["num_purchases"], c["label"], c["avg_price"]) == (1, 0, 1, 7.0)
+    assert lab["a"]["num_cart_adds"] == 1 and lab["a"]["label"] == 0
