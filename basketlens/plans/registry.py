@@ -316,6 +316,13 @@ def q_auc(spark, sf_dir):
     return spark.createDataFrame([(m["auc"], m["pr_auc"])], "auc double, pr_auc double")
 
 
+def q_auc_pr(spark, sf_dir):
+    """Area under the precision-recall curve of the best intent model."""
+    model, test = _intent_test(spark, sf_dir)
+    pr = models.BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
+    return spark.createDataFrame([(pr.evaluate(model.transform(test)),)], "pr_auc double")
+
+
 def q_accuracy(spark, sf_dir):
     model, test = _category_test(spark, sf_dir)
     return accuracy(model.transform(test))  # test carries the class index ``label``
@@ -426,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "purchase_probability": q_purchase_probability,
     "prediction_histogram": q_prediction_histogram,
     "auc": q_auc,
+    "auc_pr": q_auc_pr,
     "accuracy": q_accuracy,
     "top3_categories": q_top3_categories,
     "decoded_predictions": q_decoded_predictions,

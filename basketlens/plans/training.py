@@ -28,11 +28,18 @@ def workspace(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _materialized(spark: SparkSession, path: str, build) -> DataFrame:
+    """Read a written table, writing it first when absent or incomplete.
+
+    A one-row marker table is written only after the table's own write job
+    has committed, so a run that died half-way (partial output of a
+    non-atomic job commit) is rebuilt instead of read."""
+    marker = f"{path}__complete"
     try:
-        return spark.read.parquet(path)
-    except Exception:  # first use: write it
+        spark.read.parquet(marker).count()
+    except Exception:  # absent or unfinished: (re)build
         build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        spark.range(1).write.mode("overwrite").parquet(marker)
+    return spark.read.parquet(path)
 
 
 def intent_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
