@@ -126,13 +126,7 @@ def q_test_split_funnel(spark, sf_dir):
     """C8 + C10 exactly as the original reports: over the scored 20 % test
     split (scoring keeps num_cart_adds, label, main_category as they are)."""
     _, test = split_train_test(tables.labeled(spark, sf_dir))
-    f = fn.category_funnel(test)
-    total = fn.funnel(test).select(F.lit("(all)").alias("main_category"), "stage", "users")
-    per_cat = f.select("main_category", F.inline(F.array(
-        F.struct(F.lit("Viewed").alias("stage"), F.col("viewed").alias("users")),
-        F.struct(F.lit("Cart Add").alias("stage"), F.col("cart").alias("users")),
-        F.struct(F.lit("Purchased").alias("stage"), F.col("purchased").alias("users")))))
-    return total.unionByName(per_cat)
+    return fn.funnel_by_category_with_total(test)
 
 
 def q_funnel_dropoff(spark, sf_dir):
