@@ -1,0 +1,89 @@
+"""Plan-shape regression tests: the properties that make the queries scale."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from basketlens.operators.clean import clean_events
+from basketlens.operators.sessions import session_features, session_features_joined
+from basketlens.plans import tables
+from conftest import SF_SMALL
+
+
+def plan_text(df, mode: str | None = None) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode) if mode else df.explain()
+    return buf.getvalue()
+
+
+def test_rollup_two_shuffles_partial_aggregation_no_joins(spark):
+    text = plan_text(tables.features(spark, SF_SMALL))
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "partial_count" in text                          # map-side combine before the shuffle
+    for bad in ("SortMergeJoin", "ShuffledHashJoin", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in text
+    joined = plan_text(session_features_joined(clean_events(tables.raw_events(spark, SF_SMALL))))
+    assert joined.count("Exchange hashpartitioning") > 2    # the original shape shuffles more
+
+
+def test_events_scan_is_pruned(spark):
+    text = plan_text(tables.features(spark, SF_SMALL))
+    scans = [ln for ln in text.splitlines() if "FileScan parquet" in ln and "events" in ln]
+    assert scans and all("event_id" not in ln for ln in scans)
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_no_python_in_batch_plans(spark, name):
+    if name.startswith("stream_") or name in ("write_read_features", "load_events_csv"):
+        pytest.skip("materialises through a sink first")
+    text = plan_text(entry.queries()[name](spark, SF_SMALL))
+    for py in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert py not in text, name
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_histogram_bounds_evaluated_once(spark):
+    from basketlens.operators.funnel import price_histogram
+    import re
+    text = plan_text(price_histogram(tables.labeled(spark, SF_SMALL)))
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", text))) == 1
+
+
+def test_funnel_with_total_is_one_pass(spark):
+    from basketlens.operators.funnel import funnel_by_category_with_total
+    text = plan_text(funnel_by_category_with_total(tables.labeled(spark, SF_SMALL)))
+    assert text.count("FileScan parquet") == 2              # events + products, read once
+    assert "Expand" in text                                 # rollup = grouping sets, one aggregate
+
+
+def test_hot_session_same_result(spark):
+    """One session holding a third of all events: the one-pass roll-up (which
+    pre-aggregates it per task) equals the original three-aggregate form."""
+    raw = tables.raw_events(spark, SF_SMALL)
+    n = raw.count()
+    i = F.col("id")
+    hot = spark.range(n // 2).select(
+        (i + 10_000_000).alias("event_id"),
+        F.timestamp_seconds(i + 1_700_000_000).cast("timestamp_ntz").alias("event_time"),
+        F.element_at(F.array(*[F.lit(x) for x in ("view", "cart", "purchase")]),
+                     (i % 3 + 1).cast("int")).alias("event_type"),
+        (i % 7).cast("int").alias("product_id"),
+        F.element_at(F.array(*[F.lit(x) for x in ("toys.a", "garden.b", "tools.c", "toys.d")]),
+                     (i % 4 + 1).cast("int")).alias("category_code"),
+        (i % 50).cast("double").alias("price"),
+        F.lit(1).cast("bigint").alias("user_id"),
+        F.lit("HOT").alias("user_session"))
+    skewed = raw.unionByName(hot.select(*raw.columns)).repartition(8)
+    clean = clean_events(skewed)
+    a = tables.rounded_price(session_features(clean))
+    b = tables.rounded_price(session_features_joined(clean).select(*a.columns))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    row = a.filter("user_session = 'HOT'").first()
+    assert row["main_category"] == "toys" and row["unique_categories"] == 3
+    assert row["num_views"] + row["num_cart_adds"] + row["num_purchases"] == n // 2
