@@ -18,7 +18,7 @@ from basketlens.plans import tables
 from basketlens.session import scratch_root
 
 # bump when the session tables or the runs schema change (stale tables are never reused)
-LAYOUT_VERSION = "v3"
+LAYOUT_VERSION = "v4"
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> str:
