@@ -33,7 +33,8 @@ from basketlens.schemas import RAW_EVENT_CSV_SCHEMA
 from basketlens.sources.events import load_events_csv, sample_rows, sample_sessions
 from basketlens.sources.messages import (decode_session_messages, encode_session_messages,
                                          with_message_defaults)
-from basketlens.sources.sinks import scored_columns, write_table
+from basketlens.sources.events import read_scored_sessions
+from basketlens.sources.sinks import save_scored_sessions, scored_columns, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -294,6 +295,22 @@ def q_scored_sessions(spark, sf_dir):
     return scored.select(*scored_columns(scored))
 
 
+def q_scored_store(spark, sf_dir):
+    """A8 + A9: scored sessions saved replace-all to the predicted_intents
+    table, then read back without the store's own id."""
+    model, test = _intent_test(spark, sf_dir)
+    path = f"{training.workspace(spark, sf_dir)}/predicted_intents"
+    save_scored_sessions(score_intent(model, test), path)
+    return read_scored_sessions(spark, path)
+
+
+def q_run_by_params(spark, sf_dir):
+    """The runs of a model whose typed params equal a given grid point."""
+    runs = _runs(spark, sf_dir)
+    model, point = "lr", QUICK_INTENT["lr"][0]
+    return models.runs_with_params(runs, "intent", model, point).select(*RUN_COLUMNS, "model_path")
+
+
 def q_purchase_probability(spark, sf_dir):
     model, test = _intent_test(spark, sf_dir)
     return score_intent(model, test).select("user_session", "label", "prediction", "purchase_prob")
@@ -424,6 +441,8 @@ QUERIES: dict[str, Query] = {
     "model_scores": q_model_scores,
     "best_per_model": q_best_per_model,
     "scored_sessions": q_scored_sessions,
+    "scored_store": q_scored_store,
+    "run_by_params": q_run_by_params,
     "purchase_probability": q_purchase_probability,
     "prediction_histogram": q_prediction_histogram,
     "auc": q_auc,
