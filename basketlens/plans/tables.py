@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 
 from basketlens.operators.clean import clean_events
 from basketlens.operators.sessions import labeled_sessions, session_features
-from basketlens.sources.events import events_from_tables
+from basketlens.sources.events import events_from_tables, load_events_csv
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw shop events from a source: ``csv:<path>`` (or a path ending in .csv)
+    is the original's header CSV of events; anything else is a folder of the
+    driver's tables, mapped by the adapter."""
+    if sf_dir.startswith("csv:"):
+        return load_events_csv(spark, sf_dir[4:])
+    if sf_dir.rstrip("/").endswith(".csv"):
+        return load_events_csv(spark, sf_dir)
     return events_from_tables(spark, sf_dir)
 
 

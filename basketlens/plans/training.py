@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketlens.operators import models
 from basketlens.operators.features import fit_category_labels, split_train_test
@@ -88,3 +89,21 @@ def best_pipeline(spark: SparkSession, sf_dir: str, task: str,
     runs = train(spark, sf_dir, task, grids)
     row = models.best_model(runs, task).first()
     return models.load_run_model(row), row
+
+
+def choose_model(spark: SparkSession, sf_dir: str, task: str, model: str | None = None,
+                 point: tuple | None = None):
+    """K9: the pipeline to serve -- the run of ``model`` with the given typed
+    params when asked for (E8), else the best run of the task (C17 / F3).
+    Returns (PipelineModel, run row); raises when the asked-for run is absent."""
+    runs = models.read_runs(spark, runs_path(spark, sf_dir))
+    if model is not None and point is not None:
+        row = (models.runs_with_params(runs, task, model, point)
+               .orderBy(F.col("trained_at").desc()).first())
+        if row is None:
+            raise LookupError(f"no {task} run of {model} with params {point}")
+    else:
+        row = models.best_model(runs, task).first()
+        if row is None:
+            raise LookupError(f"no {task} runs yet: train first")
+    return models.load_run_model(row), row

@@ -128,3 +128,16 @@ def test_runs_lookup_by_params_and_metadata(spark, workdir):
     nb = models.runs_with_params(runs, "intent", "nb", (0.5, "multinomial")).first()
     assert json.loads(nb["model_params"])["modelType"] == "multinomial"
     assert models.best_per_model(runs, "intent").count() == 2
+
+
+def test_choose_model_by_params_or_best(spark):
+    import pytest
+    from basketlens.plans import training
+    training.train(spark, SF_SMALL, "intent", {"lr": [(50, 0.0, 0.0)], "dt": [(5, 32)]})
+    m, row = training.choose_model(spark, SF_SMALL, "intent", "dt", (5, 32))
+    assert row["model"] == "dt" and row["params"] == "5_32"
+    _, best = training.choose_model(spark, SF_SMALL, "intent")
+    runs = models.read_runs(spark, training.runs_path(spark, SF_SMALL)).filter("task = 'intent'")
+    assert best["auc"] == runs.agg(F.max("auc")).first()[0]
+    with pytest.raises(LookupError):
+        training.choose_model(spark, SF_SMALL, "intent", "rf", (1, 1, 1))
