@@ -8,51 +8,30 @@ table, not the event log.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.operators import models
 from basketlens.operators.features import fit_category_labels, split_train_test
 from basketlens.plans import tables
-from basketlens.session import scratch_root
-
-# bump when the session tables or the runs schema change (stale tables are never reused)
-LAYOUT_VERSION = "v4"
+from basketlens.sources.sinks import dataset_workspace, materialized
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> str:
     """Stable per-dataset folder under the shared scratch root."""
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return f"{scratch_root(spark)}/basketlens/{LAYOUT_VERSION}/{tag}"
-
-
-def _materialized(spark: SparkSession, path: str, build) -> DataFrame:
-    """Read a written table, writing it first when absent or incomplete.
-
-    A one-row marker table is written only after the table's own write job
-    has committed, so a run that died half-way (partial output of a
-    non-atomic job commit) is rebuilt instead of read."""
-    marker = f"{path}__complete"
-    try:
-        spark.read.parquet(marker).count()
-    except Exception:  # absent or unfinished: (re)build
-        build().write.mode("overwrite").parquet(path)
-        spark.range(1).write.mode("overwrite").parquet(marker)
-    return spark.read.parquet(path)
+    return dataset_workspace(spark, sf_dir)
 
 
 def intent_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labeled sessions (T3 input), written once."""
-    return _materialized(spark, f"{workspace(spark, sf_dir)}/labeled_sessions",
-                         lambda: tables.labeled(spark, sf_dir))
+    return materialized(spark, f"{workspace(spark, sf_dir)}/labeled_sessions",
+                        lambda: tables.labeled(spark, sf_dir))
 
 
 def category_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions with a purchased category (T4 input), written once."""
-    return _materialized(spark, f"{workspace(spark, sf_dir)}/category_sessions",
-                         lambda: tables.features(spark, sf_dir, include_labels=True))
+    return materialized(spark, f"{workspace(spark, sf_dir)}/category_sessions",
+                        lambda: tables.features(spark, sf_dir, include_labels=True))
 
 
 def runs_path(spark: SparkSession, sf_dir: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.columns import parse_event_time, sample_sessions_flag
 from basketlens.schemas import RAW_EVENT_CSV_SCHEMA, SAMPLE_FRACTION, SAMPLE_SEED
+from basketlens.sources.sinks import dataset_workspace, materialized
 
 
 def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +40,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Largest product dimension shipped to every task as a broadcast (estimated
+# hashed size); a bigger one is joined with a shuffle join instead.
+MAX_BROADCAST_PRODUCT_BYTES = 64 * 1024 * 1024
+_BROADCAST_DECISIONS: dict[str, bool] = {}
+
+
+def _product_key():
+    return F.get_json_object("props", "$.k").cast("int")
+
+
 def product_categories(part: DataFrame) -> DataFrame:
     """Product dimension of the test data: p_partkey -> dotted category path."""
     return part.select(
@@ -47,23 +58,60 @@ def product_categories(part: DataFrame) -> DataFrame:
         .alias("product_category"))
 
 
+def referenced_products(ev: DataFrame, part: DataFrame) -> DataFrame:
+    """The product dimension reduced to the products the events reference.
+
+    The distinct product keys of the events are one pruned column with a
+    partial aggregate (at most one row per product per task reaches the
+    shuffle); the dimension is then left-semi joined with them.  The result
+    grows with the catalogue in use, not with the event log.
+    """
+    keys = (ev.select(_product_key().cast("bigint").alias("product_key"))
+              .filter(F.col("product_key").isNotNull()).distinct())
+    return product_categories(part).join(keys, "product_key", "left_semi")
+
+
+def broadcastable(products: DataFrame, cache_key: str | None = None,
+                  max_bytes: int = MAX_BROADCAST_PRODUCT_BYTES) -> bool:
+    """Size check before a broadcast: one aggregate over the (written, small)
+    dimension estimates its hashed size -- 8-byte key, string bytes, ~32 bytes
+    of per-row overhead -- against ``max_bytes``."""
+    if cache_key is not None and cache_key in _BROADCAST_DECISIONS:
+        return _BROADCAST_DECISIONS[cache_key]
+    est = products.agg(
+        (F.count(F.lit(1)) * 40 + F.coalesce(F.sum(F.octet_length("product_category")), F.lit(0)))
+        .alias("bytes")).first()["bytes"]
+    ok = est <= max_bytes
+    if cache_key is not None:
+        _BROADCAST_DECISIONS[cache_key] = ok
+    return ok
+
+
 def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map the driver's ``events`` + ``part`` tables onto raw shop events.
 
     event_type click -> cart; product = props.k; category = lower(p_type) '.'
     p_name (NULL for every tenth product); session = user-day (NULL for the
-    products k % 25 = 7).  The product join is a plain equi-join: Spark
-    broadcasts the product side only when its measured size is under the
-    broadcast threshold, and falls back to a shuffle join otherwise.
-    """
-    return adapt_events(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part"))
+    products k % 25 = 7).
 
-
-def adapt_events(ev: DataFrame, part: DataFrame) -> DataFrame:
-    """The adapter on given frames; ``ev`` may be a streaming DataFrame (the
-    product join is then a stream-static left join)."""
-    products = product_categories(part)
-    k = F.get_json_object("props", "$.k").cast("int")
+    The product join never shuffles the event log when the products in use
+    are few: the referenced products are written once per dataset, their
+    size is checked, and only then are they broadcast.  Beyond the bound the
+    join is a plain shuffle join (AQE splits hot product keys).
+    """
+    ev = read_table(spark, sf_dir, "events")
+    path = f"{dataset_workspace(spark, sf_dir)}/referenced_products"
+    products = materialized(spark, path,
+                            lambda: referenced_products(ev, read_table(spark, sf_dir, "part")))
+    return adapt_events(ev, products, broadcast=broadcastable(products, cache_key=path))
+
+
+def adapt_events(ev: DataFrame, products: DataFrame, broadcast: bool = False) -> DataFrame:
+    """The adapter on given frames: ``products`` is a product dimension
+    (``product_categories``); ``ev`` may be a streaming DataFrame (the product
+    join is then a stream-static left join).  ``broadcast`` only after a
+    size check (``broadcastable``)."""
+    k = _product_key()
     staged = ev.select(
         "event_id",
         F.col("ts").alias("event_time"),
@@ -76,7 +124,8 @@ def adapt_events(ev: DataFrame, part: DataFrame) -> DataFrame:
          .otherwise(F.concat_ws("-", F.col("user_id").cast("string"),
                                 F.date_format("ts", "yyyyMMdd"))).alias("user_session"),
     )
-    joined = staged.join(products, staged.product_id == products.product_key, "left")
+    side = F.broadcast(products) if broadcast else products
+    joined = staged.join(side, staged.product_id == side.product_key, "left")
     return joined.select(
         "event_id", "event_time", "event_type", "product_id",
         F.when(F.col("product_id") % 10 == 0, F.lit(None).cast("string"))
@@ -112,7 +161,10 @@ def stream_events_from_tables(spark: SparkSession, sf_dir: str,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     # a glob: the file source watches a folder, and this table is one file in it
-    return adapt_events(r.parquet(f"{base}/events*.parquet"), read_table(spark, sf_dir, "part"))
+    # products a future event may name are unknown: the whole dimension, size-checked
+    products = product_categories(read_table(spark, sf_dir, "part"))
+    return adapt_events(r.parquet(f"{base}/events*.parquet"), products,
+                        broadcast=broadcastable(products, cache_key=f"part:{base}"))
 
 
 def read_scored_sessions(spark: SparkSession, path: str) -> DataFrame:

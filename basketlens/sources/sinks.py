@@ -8,12 +8,17 @@ appear atomically, so a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.schemas import SCORED_COLUMNS
+from basketlens.session import scratch_root
+
+# bump when a derived table's layout changes (stale tables are never reused)
+LAYOUT_VERSION = "v4"
 
 
 def _norm(p: str) -> str:
@@ -67,3 +72,24 @@ def save_pipeline(model: PipelineModel, path: str) -> str:
 
 def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def dataset_workspace(spark: SparkSession, source: str) -> str:
+    """Stable per-dataset folder under the shared scratch root."""
+    tag = hashlib.sha1(source.rstrip("/").encode()).hexdigest()[:12]
+    return f"{scratch_root(spark)}/basketlens/{LAYOUT_VERSION}/{tag}"
+
+
+def materialized(spark: SparkSession, path: str, build) -> DataFrame:
+    """Read a written table, writing it first when absent or incomplete.
+
+    A one-row marker table is written only after the table's own write job
+    has committed, so a run that died half-way (partial output of a
+    non-atomic job commit) is rebuilt instead of read."""
+    marker = f"{path}__complete"
+    try:
+        spark.read.parquet(marker).count()
+    except Exception:  # absent or unfinished: (re)build
+        build().write.mode("overwrite").parquet(path)
+        spark.range(1).write.mode("overwrite").parquet(marker)
+    return spark.read.parquet(path)

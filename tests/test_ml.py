@@ -141,3 +141,21 @@ def test_choose_model_by_params_or_best(spark):
     assert best["auc"] == runs.agg(F.max("auc")).first()[0]
     with pytest.raises(LookupError):
         training.choose_model(spark, SF_SMALL, "intent", "rf", (1, 1, 1))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.floats(0, 1, allow_nan=False), st.integers(0, 1)),
+                min_size=2, max_size=60),
+       st.sampled_from([2, 3, 8]))
+def test_exact_auc_continuous_scores_bucketed(spark, rows, buckets):
+    """Continuous scores cut into few buckets: still the exact rank-sum AUC."""
+    rows = rows + [(rows[0][0], 1 - rows[0][1])]             # force a tie across labels
+    pos = [s for s, y in rows if y == 1]
+    neg = [s for s, y in rows if y == 0]
+    df = spark.createDataFrame(rows, "score double, label int")
+    got = exact_auc(df, "score", buckets=buckets).first()["auc"]
+    wins = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
+    assert abs(got - wins / (len(pos) * len(neg))) < 1e-12
+    grouped = exact_auc(df.withColumn("g", F.lit("a")), "score", by=["g"],
+                        buckets=buckets).first()["auc"]
+    assert abs(grouped - got) < 1e-12

@@ -87,3 +87,29 @@ def test_hot_session_same_result(spark):
     row = a.filter("user_session = 'HOT'").first()
     assert row["main_category"] == "toys" and row["unique_categories"] == 3
     assert row["num_views"] + row["num_cart_adds"] + row["num_purchases"] == n // 2
+
+
+def test_product_dimension_reduced_and_size_checked(spark):
+    """The adapter joins only the products the events name, broadcasts them
+    only under the byte bound, and gives the same rows either way as a join
+    with the whole product table."""
+    from basketlens.sources.events import (adapt_events, broadcastable, product_categories,
+                                           read_table, referenced_products)
+    ev, part = read_table(spark, SF_SMALL, "events"), read_table(spark, SF_SMALL, "part")
+    reduced = referenced_products(ev, part)
+    n_keys = (ev.select(F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+                .join(part, F.col("k") == F.col("p_partkey")).select("k").distinct().count())
+    assert reduced.count() == n_keys < part.count()
+    assert broadcastable(reduced) and not broadcastable(reduced, max_bytes=16)
+
+    small = adapt_events(ev, reduced, broadcast=True)
+    assert "BroadcastHashJoin" in plan_text(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = adapt_events(ev, reduced, broadcast=False)
+        assert "BroadcastExchange" not in plan_text(big)    # beyond the bound: shuffle join
+        whole = adapt_events(ev, product_categories(part), broadcast=False)
+        assert small.exceptAll(whole).count() == 0 and whole.exceptAll(small).count() == 0
+        assert big.exceptAll(whole).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
