@@ -80,16 +80,22 @@ def dataset_workspace(spark: SparkSession, source: str) -> str:
     return f"{scratch_root(spark)}/basketlens/{LAYOUT_VERSION}/{tag}"
 
 
+_COMPLETE: set[str] = set()        # tables this process has written or found complete
+
+
 def materialized(spark: SparkSession, path: str, build) -> DataFrame:
     """Read a written table, writing it first when absent or incomplete.
 
     A one-row marker table is written only after the table's own write job
     has committed, so a run that died half-way (partial output of a
-    non-atomic job commit) is rebuilt instead of read."""
-    marker = f"{path}__complete"
-    try:
-        spark.read.parquet(marker).count()
-    except Exception:  # absent or unfinished: (re)build
-        build().write.mode("overwrite").parquet(path)
-        spark.range(1).write.mode("overwrite").parquet(marker)
+    non-atomic job commit) is rebuilt instead of read.  The marker is
+    checked once per process and path."""
+    if path not in _COMPLETE:
+        marker = f"{path}__complete"
+        try:
+            spark.read.parquet(marker).count()
+        except Exception:  # absent or unfinished: (re)build
+            build().write.mode("overwrite").parquet(path)
+            spark.range(1).write.mode("overwrite").parquet(marker)
+        _COMPLETE.add(path)
     return spark.read.parquet(path)

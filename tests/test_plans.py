@@ -113,3 +113,41 @@ def test_product_dimension_reduced_and_size_checked(spark):
         assert big.exceptAll(whole).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _with_hot_session(spark, raw):
+    n = raw.count()
+    i = F.col("id")
+    hot = spark.range(n // 2).select(
+        (i + 10_000_000).alias("event_id"),
+        F.timestamp_seconds(i + 1_700_000_000).cast("timestamp_ntz").alias("event_time"),
+        F.element_at(F.array(*[F.lit(x) for x in ("view", "cart", "purchase", "view")]),
+                     (i % 4 + 1).cast("int")).alias("event_type"),
+        (i % 7).cast("int").alias("product_id"),
+        F.element_at(F.array(*[F.lit(x) for x in ("toys.a", "garden.b", "tools.c")]),
+                     (i % 3 + 1).cast("int")).alias("category_code"),
+        (i % 50).cast("double").alias("price"),
+        F.lit(1).cast("bigint").alias("user_id"),
+        F.lit("HOT").alias("user_session"))
+    return raw.unionByName(hot.select(*raw.columns)).repartition(8)
+
+
+def test_pre_purchase_hot_session_salted(spark, monkeypatch):
+    """A session with a third of all events is spread over several join
+    partitions (salted), and the pre-purchase features equal the unsalted join."""
+    from basketlens.operators import sessions as S
+    clean = clean_events(_with_hot_session(spark, tables.raw_events(spark, SF_SMALL)))
+    plain = tables.rounded_price(S.labeled_sessions(clean, pre_purchase_only=True)).collect()
+    monkeypatch.setattr(S, "HOT_SESSION_ROWS", 100)
+    monkeypatch.setattr(S, "MAX_HOT_SESSIONS", 10)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        flagged = S.before_first_purchase(clean)
+        assert "BroadcastHashJoin" in plan_text(flagged)
+        parts = (flagged.filter("user_session = 'HOT'")
+                        .select(F.spark_partition_id().alias("p")).distinct().count())
+        assert parts > 1
+        salted = tables.rounded_price(S.labeled_sessions(clean, pre_purchase_only=True))
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
