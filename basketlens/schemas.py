@@ -63,6 +63,27 @@ RAW_EVENT_SCHEMA = T.StructType([
     T.StructField("user_session", T.StringType()),
 ])
 
+# The driver's test tables, columns as read (declared, so a read runs no
+# schema-inference job; only these columns are scanned)
+EVENTS_TABLE_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+PART_TABLE_SCHEMA = T.StructType([
+    T.StructField("p_partkey", T.LongType()),
+    T.StructField("p_name", T.StringType()),
+    T.StructField("p_type", T.StringType()),
+])
+PRODUCT_SCHEMA = T.StructType([                      # the adapter's product dimension
+    T.StructField("product_key", T.LongType()),
+    T.StructField("product_category", T.StringType()),
+])
+TABLE_SCHEMAS = {"events": EVENTS_TABLE_SCHEMA, "part": PART_TABLE_SCHEMA}
+
 # ---------------------------------------------------------------------------
 # T2 session features (+ label_category), T8 stream message
 # ---------------------------------------------------------------------------

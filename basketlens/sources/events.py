@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.functions.columns import parse_event_time, sample_sessions_flag
-from basketlens.schemas import RAW_EVENT_CSV_SCHEMA, SAMPLE_FRACTION, SAMPLE_SEED
+from basketlens.schemas import (PRODUCT_SCHEMA, RAW_EVENT_CSV_SCHEMA, SAMPLE_FRACTION,
+                                SAMPLE_SEED, TABLE_SCHEMAS)
 from basketlens.sources.sinks import dataset_workspace, materialized
 
 
@@ -37,7 +38,11 @@ def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; declared schema where known (no inference job per read)."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Largest product dimension shipped to every task as a broadcast (estimated
@@ -102,7 +107,8 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     path = f"{dataset_workspace(spark, sf_dir)}/referenced_products"
     products = materialized(spark, path,
-                            lambda: referenced_products(ev, read_table(spark, sf_dir, "part")))
+                            lambda: referenced_products(ev, read_table(spark, sf_dir, "part")),
+                            schema=PRODUCT_SCHEMA)
     return adapt_events(ev, products, broadcast=broadcastable(products, cache_key=path))
 
 
@@ -156,7 +162,7 @@ def stream_events_from_tables(spark: SparkSession, sf_dir: str,
     """The event table as a stream (file source over its Parquet path), mapped
     onto raw shop events like the batch adapter."""
     base = sf_dir.rstrip("/")
-    schema = read_table(spark, sf_dir, "events").schema
+    schema = TABLE_SCHEMAS["events"]
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -83,13 +83,14 @@ def dataset_workspace(spark: SparkSession, source: str) -> str:
 _COMPLETE: set[str] = set()        # tables this process has written or found complete
 
 
-def materialized(spark: SparkSession, path: str, build) -> DataFrame:
+def materialized(spark: SparkSession, path: str, build, schema=None) -> DataFrame:
     """Read a written table, writing it first when absent or incomplete.
 
     A one-row marker table is written only after the table's own write job
     has committed, so a run that died half-way (partial output of a
     non-atomic job commit) is rebuilt instead of read.  The marker is
-    checked once per process and path."""
+    checked once per process and path; a known ``schema`` spares the read
+    its inference job."""
     if path not in _COMPLETE:
         marker = f"{path}__complete"
         try:
@@ -98,4 +99,4 @@ def materialized(spark: SparkSession, path: str, build) -> DataFrame:
             build().write.mode("overwrite").parquet(path)
             spark.range(1).write.mode("overwrite").parquet(marker)
         _COMPLETE.add(path)
-    return spark.read.parquet(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
