@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint() output (the pre-purchase stats) is removed once no plan references it
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
