@@ -99,8 +99,12 @@ def evaluate(task: str, predictions: DataFrame) -> dict[str, float | None]:
     if task == "intent":
         roc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
         pr = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
-        return {"auc": roc.evaluate(predictions), "pr_auc": pr.evaluate(predictions),
-                "accuracy": None}
+        # two metrics over one scoring pass: keep the two columns they read
+        scored = predictions.select("rawPrediction", "label").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return {"auc": roc.evaluate(scored), "pr_auc": pr.evaluate(scored), "accuracy": None}
+        finally:
+            scored.unpersist()
     acc = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
                                             metricName="accuracy")
     return {"auc": None, "pr_auc": None, "accuracy": acc.evaluate(predictions)}
