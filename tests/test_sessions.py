@@ -4,6 +4,8 @@ equivalence of the one-pass roll-up with the original three-aggregate form."""
 from __future__ import annotations
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from basketlens.operators.clean import categorized_events, clean_events
@@ -133,3 +135,37 @@ def test_pre_purchase_features_fixture(f1_events):
     c = lab["c"]                       # the view before the (uncategorised) purchase
     assert (c["num_views"], c["num_purchases"], c["label"], c["avg_price"]) == (1, 0, 1, 7.0)
     assert lab["a"]["num_cart_adds"] == 1 and lab["a"]["label"] == 0
+
+
+RAW_DDL = ("event_id bigint, event_time timestamp_ntz, event_type string, product_id int, "
+           "category_code string, price double, user_id bigint, user_session string")
+EVENT = st.tuples(st.sampled_from(["a", "b", "c"]),
+                  st.sampled_from(["view", "cart", "purchase", "signup"]),
+                  st.sampled_from(["toys.x", "toys.y", "garden.z", "tools", None]),
+                  st.one_of(st.none(), st.integers(0, 20)),        # second of the minute; None: bad time
+                  st.one_of(st.none(), st.sampled_from([1.0, 2.5, 4.0])))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(EVENT, min_size=1, max_size=30))
+def test_rollup_forms_agree_on_random_events(spark, rows):
+    """Random events full of ties and NULLs: the one-pass roll-up equals the
+    original three-aggregate form, and the salted pre-purchase join (thresholds
+    forced low) equals the unsalted one."""
+    from datetime import datetime
+    from basketlens.operators import sessions as S
+    data = [(i, None if sec is None else datetime(2024, 1, 1, 10, 0, sec), et, i % 5, cat, price,
+             1, sess) for i, (sess, et, cat, sec, price) in enumerate(rows)]
+    clean = clean_events(spark.createDataFrame(data, RAW_DDL))
+    for include_labels in (False, True):
+        a = tables.rounded_price(session_features(clean, include_labels))
+        b = tables.rounded_price(session_features_joined(clean, include_labels).select(*a.columns))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plain = tables.rounded_price(labeled_sessions(clean, pre_purchase_only=True))
+    saved = S.HOT_SESSION_ROWS, S.MAX_HOT_SESSIONS
+    S.HOT_SESSION_ROWS, S.MAX_HOT_SESSIONS = 2, 4          # > 2 events and > 1/4 of all: hot
+    try:
+        salted = tables.rounded_price(labeled_sessions(clean, pre_purchase_only=True))
+    finally:
+        S.HOT_SESSION_ROWS, S.MAX_HOT_SESSIONS = saved
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
