@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -81,6 +82,7 @@ def dataset_workspace(spark: SparkSession, source: str) -> str:
 
 
 _COMPLETE: set[str] = set()        # tables this process has written or found complete
+_BUILD_LOCK = threading.RLock()
 
 
 def materialized(spark: SparkSession, path: str, build, schema=None) -> DataFrame:
@@ -92,11 +94,13 @@ def materialized(spark: SparkSession, path: str, build, schema=None) -> DataFram
     checked once per process and path; a known ``schema`` spares the read
     its inference job."""
     if path not in _COMPLETE:
-        marker = f"{path}__complete"
-        try:
-            spark.read.parquet(marker).count()
-        except Exception:  # absent or unfinished: (re)build
-            build().write.mode("overwrite").parquet(path)
-            spark.range(1).write.mode("overwrite").parquet(marker)
-        _COMPLETE.add(path)
+        with _BUILD_LOCK:                    # queries run from several threads build once
+            if path not in _COMPLETE:
+                marker = f"{path}__complete"
+                try:
+                    spark.read.parquet(marker).count()
+                except Exception:  # absent or unfinished: (re)build
+                    build().write.mode("overwrite").parquet(path)
+                    spark.range(1).write.mode("overwrite").parquet(marker)
+                _COMPLETE.add(path)
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
