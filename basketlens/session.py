@@ -45,6 +45,13 @@ def get_spark(master: str | None = None, app: str = "basketlens",
     return spark
 
 
+def int_setting(spark: SparkSession, key: str, default: int) -> int:
+    """A tuning bound a deployer may set per cluster (``--conf key=value``),
+    else the engine's default."""
+    value = spark.conf.get(key, None)
+    return int(value) if value else int(default)
+
+
 def _conf(spark: SparkSession, key: str) -> str | None:
     value = spark.sparkContext.getConf().get(key, None)
     if value:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from basketlens.functions.columns import parse_event_time, sample_sessions_flag
 from basketlens.schemas import (PRODUCT_SCHEMA, RAW_EVENT_CSV_SCHEMA, SAMPLE_FRACTION,
                                 SAMPLE_SEED, TABLE_SCHEMAS)
+from basketlens.session import int_setting
 from basketlens.sources.sinks import dataset_workspace, materialized
 
 
@@ -46,7 +47,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Largest product dimension shipped to every task as a broadcast (estimated
-# hashed size); a bigger one is joined with a shuffle join instead.
+# hashed size); a bigger one is joined with a shuffle join instead.  Default;
+# a cluster may set spark.basketlens.maxBroadcastProductBytes.
 MAX_BROADCAST_PRODUCT_BYTES = 64 * 1024 * 1024
 _BROADCAST_DECISIONS: dict[str, bool] = {}
 
@@ -77,12 +79,15 @@ def referenced_products(ev: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def broadcastable(products: DataFrame, cache_key: str | None = None,
-                  max_bytes: int = MAX_BROADCAST_PRODUCT_BYTES) -> bool:
+                  max_bytes: int | None = None) -> bool:
     """Size check before a broadcast: one aggregate over the (written, small)
     dimension estimates its hashed size -- 8-byte key, string bytes, ~32 bytes
     of per-row overhead -- against ``max_bytes``."""
     if cache_key is not None and cache_key in _BROADCAST_DECISIONS:
         return _BROADCAST_DECISIONS[cache_key]
+    if max_bytes is None:
+        max_bytes = int_setting(products.sparkSession, "spark.basketlens.maxBroadcastProductBytes",
+                                MAX_BROADCAST_PRODUCT_BYTES)
     est = products.agg(
         (F.count(F.lit(1)) * 40 + F.coalesce(F.sum(F.octet_length("product_category")), F.lit(0)))
         .alias("bytes")).first()["bytes"]

@@ -132,14 +132,14 @@ def _with_hot_session(spark, raw):
     return raw.unionByName(hot.select(*raw.columns)).repartition(8)
 
 
-def test_pre_purchase_hot_session_salted(spark, monkeypatch):
+def test_pre_purchase_hot_session_salted(spark):
     """A session with a third of all events is spread over several join
     partitions (salted), and the pre-purchase features equal the unsalted join."""
     from basketlens.operators import sessions as S
     clean = clean_events(_with_hot_session(spark, tables.raw_events(spark, SF_SMALL)))
     plain = tables.rounded_price(S.labeled_sessions(clean, pre_purchase_only=True)).collect()
-    monkeypatch.setattr(S, "HOT_SESSION_ROWS", 100)
-    monkeypatch.setattr(S, "MAX_HOT_SESSIONS", 10)
+    spark.conf.set("spark.basketlens.hotSessionRows", "100")      # per-cluster tuning keys
+    spark.conf.set("spark.basketlens.maxHotSessions", "10")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         flagged = S.before_first_purchase(clean)
@@ -150,4 +150,6 @@ def test_pre_purchase_hot_session_salted(spark, monkeypatch):
         salted = tables.rounded_price(S.labeled_sessions(clean, pre_purchase_only=True))
         assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain))
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for key in ("spark.sql.adaptive.coalescePartitions.enabled",
+                    "spark.basketlens.hotSessionRows", "spark.basketlens.maxHotSessions"):
+            spark.conf.unset(key)
