@@ -4,8 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basketlens.llm import bpe_codec, token_files
 from basketlens.llm.common import load
 from basketlens.llm.quality_rules import quality_verdicts
+from basketlens.llm.token_counts import count_tokens
+
+
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file; any other path serves as well."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_files(spark, sf_dir):
+    path = token_files.new_files(spark)
+    by_rank = token_files.write_token_files(load(spark, sf_dir, "documents"),
+                                            tokenizer("byte_bpe_50k.json"), path, end_id=0)
+    return token_files.token_file_digests(spark, path, by_rank)
+
+
+def op9_token_counts(spark, sf_dir):
+    return count_tokens(load(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), limit=4096)
+
+
+def op10_bpe_codec(spark, sf_dir):
+    from public_tokenizers import PATTERN
+
+    ranks = tokenizer("byte_bpe_50k.tiktoken")
+    encoded = bpe_codec.encode(load(spark, sf_dir, "documents"), ranks, PATTERN)
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bpe_codec.decode(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op5_quality_rules(spark, sf_dir):
@@ -14,6 +45,9 @@ def op5_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
+    "op6_token_files": op6_token_files,
+    "op9_token_counts": op9_token_counts,
+    "op10_bpe_codec": op10_bpe_codec,
 }
 
 ORACLE_SQL = {}
