@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import bpe_codec, token_files
 from basketlens.llm.common import load
+from basketlens.llm.line_dedup import dedup_lines
+from basketlens.llm.mixing import mix
 from basketlens.llm.quality_rules import quality_verdicts
 from basketlens.llm.token_counts import count_tokens
 
@@ -17,6 +19,16 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mix_sources(spark, sf_dir):
+    return mix(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "shard")
+
+
+def op8_line_dedup(spark, sf_dir):
+    return dedup_lines(load(spark, sf_dir, "documents").select("doc_id", "text"), threshold=10).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_token_files(spark, sf_dir):
     path = token_files.new_files(spark)
     by_rank = token_files.write_token_files(load(spark, sf_dir, "documents"),
@@ -44,6 +56,8 @@ def op5_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
+    "op8_line_dedup": op8_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
     "op9_token_counts": op9_token_counts,
