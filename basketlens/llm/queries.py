@@ -8,7 +8,9 @@ from basketlens.llm import bpe_codec, token_files
 from basketlens.llm.common import load
 from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.mixing import mix
+from basketlens.llm.nearest import nearest
 from basketlens.llm.quality_rules import quality_verdicts
+from basketlens.llm.resharding import reshard_documents, shard_slots
 from basketlens.llm.token_counts import count_tokens
 
 
@@ -29,6 +31,16 @@ def op8_line_dedup(spark, sf_dir):
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_reshard(spark, sf_dir):
+    layout = reshard_documents(load(spark, sf_dir, "documents"), n_old=12, n_new=16)
+    return shard_slots(layout).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_nearest(spark, sf_dir):
+    return nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_token_files(spark, sf_dir):
     path = token_files.new_files(spark)
     by_rank = token_files.write_token_files(load(spark, sf_dir, "documents"),
@@ -57,6 +69,8 @@ def op5_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_reshard": op3_reshard,
+    "op7_nearest": op7_nearest,
     "op8_line_dedup": op8_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
