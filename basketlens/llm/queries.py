@@ -8,6 +8,7 @@ from basketlens.llm import bpe_codec, token_files
 from basketlens.llm.common import load
 from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.mixing import mix
+from basketlens.llm.near_duplicates import near_duplicates
 from basketlens.llm.nearest import nearest
 from basketlens.llm.quality_rules import quality_verdicts
 from basketlens.llm.resharding import reshard_documents, shard_slots
@@ -31,6 +32,11 @@ def op8_line_dedup(spark, sf_dir):
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_near_duplicates(spark, sf_dir):
+    return near_duplicates(load(spark, sf_dir, "documents"), percent=75).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_reshard(spark, sf_dir):
     layout = reshard_documents(load(spark, sf_dir, "documents"), n_old=12, n_new=16)
     return shard_slots(layout).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -69,6 +75,7 @@ def op5_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_reshard": op3_reshard,
     "op7_nearest": op7_nearest,
     "op8_line_dedup": op8_line_dedup,
