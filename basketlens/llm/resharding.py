@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketlens.llm.common import delete_at_exit, row_key
 from basketlens.session import scratch_path
@@ -130,8 +131,9 @@ def ranked(rows: DataFrame, keys: list[str], order: list[Column], name: str) ->
             .withColumn(name, F.col("offset") + _inner_rank(keys, order)).drop("offset"))
 
 
-def write_layout(docs: DataFrame, path: str, n_shards: int) -> None:
-    """Write ``docs`` (doc_id, text, more columns) as ``path``/shard=/size_class=.
+def write_layout(docs: DataFrame, path: str, n_shards: int) -> T.StructType:
+    """Write ``docs`` (doc_id, text, more columns) as ``path``/shard=/size_class=;
+    the layout's columns.
 
     A document's first shard is its id's checksum; its size class is twice the
     binary logarithm of its bytes. ``part`` cuts every block into files of about
@@ -140,23 +142,23 @@ def write_layout(docs: DataFrame, path: str, n_shards: int) -> None:
     parts = max(1, docs.count() // (n_shards * PART_ROWS))
     r1, r2 = row_key("doc_id", "text")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    (docs.withColumn("size", size)
-     .withColumn("shard", F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
-                                 F.lit(n_shards)).cast("int"))
-     .withColumn("size_class", F.floor(2 * F.log2("size")).cast("int"))
-     .withColumn("r1", r1).withColumn("r2", r2).withColumn("part", F.pmod("r2", F.lit(parts)).cast("int"))
-     .repartition("shard", "size_class", "part")
+    shard = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n_shards))
+    rows = (docs.withColumn("size", size).withColumn("shard", shard.cast("int"))
+            .withColumn("size_class", F.floor(2 * F.log2("size")).cast("int"))
+            .withColumn("r1", r1).withColumn("r2", r2).withColumn("part", F.pmod("r2", F.lit(parts)).cast("int")))
+    (rows.repartition("shard", "size_class", "part")
      .write.partitionBy("shard", "size_class").option("compression", "zstd").parquet(path))
+    return rows.schema
 
 
-def reshard(spark: SparkSession, path: str, moved_path: str, n_new: int) -> DataFrame:
-    """Deal the layout at ``path`` to ``n_new`` shards; the new layout's rows.
+def reshard(spark: SparkSession, path: str, moved_path: str, n_new: int, schema: T.StructType) -> DataFrame:
+    """Deal the layout at ``path`` (with columns ``schema``) to ``n_new`` shards; the new layout's rows.
 
     Blocks without transfers keep their files. The others are read, their rows
     ranked, and the block's rows are written below ``moved_path`` with their new
     shard; the old files of just those blocks are no longer part of the layout.
     """
-    old = spark.read.parquet(path)
+    old = spark.read.schema(schema).parquet(path)
     blocks = [Block(r["shard"], r["size_class"], r["n"], r["bytes"]) for r in
               old.groupBy("shard", "size_class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
               .orderBy("shard", "size_class").collect()]
@@ -177,7 +179,7 @@ def reshard(spark: SparkSession, path: str, moved_path: str, n_new: int) -> Data
     (placed.repartition("shard", "part").write.partitionBy("shard", "size_class")
      .option("compression", "zstd").parquet(moved_path))
     columns = old.columns
-    return old.filter(~hit).select(*columns).unionByName(spark.read.parquet(moved_path).select(*columns))
+    return old.filter(~hit).select(*columns).unionByName(spark.read.schema(schema).parquet(moved_path).select(*columns))
 
 
 def shard_slots(layout: DataFrame) -> DataFrame:
@@ -201,7 +203,7 @@ def reshard_documents(docs: DataFrame, n_old: int = 12, n_new: int = 16) -> Data
     """
     spark = docs.sparkSession
     old, moved = scratch_path(spark, "shards"), scratch_path(spark, "shards-moved")
-    write_layout(docs.select(F.col("doc_id").cast("long"), "text"), old, n_old)
+    schema = write_layout(docs.select(F.col("doc_id").cast("long"), "text"), old, n_old)
     delete_at_exit(spark, old)
     delete_at_exit(spark, moved)
-    return reshard(spark, old, moved, n_new)
+    return reshard(spark, old, moved, n_new, schema)
