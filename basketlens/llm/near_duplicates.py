@@ -29,27 +29,27 @@ from basketlens.llm.shingles import BANDS, REGISTERS, band_keys, digest, shingle
 LIKELY = 0.5
 # classes of a bucket, shingles of a cluster, that one block holds
 BUCKET_BLOCK = 4_000
-CLUSTER_BLOCK = 4_000_000
+CLUSTER_BLOCK = 1_000_000
 
 
 def _texts(column: pa.Array, limit: int = 1 << 20):
-    """(first row, texts as bytes) of a binary column, about ``limit`` bytes at a time."""
-    start, texts, size = 0, [], 0
+    """Lists of the texts (bytes) of a binary column, about ``limit`` bytes each."""
+    texts, size = [], 0
     for at in range(0, len(column), 64):
-        for i, t in enumerate(column.slice(at, 64).to_pylist()):
+        for t in column.slice(at, 64).to_pylist():
             texts.append(t or b"")
             size += len(texts[-1])
             if size >= limit:
-                yield start, texts
-                start, texts, size = at + i + 1, [], 0
+                yield texts
+                texts, size = [], 0
     if texts:
-        yield start, texts
+        yield texts
 
 
 def _sketch_rows(batches):
     for batch in batches:
         n, sets, sketches = [], [], []
-        for _, texts in _texts(batch.column("text")):
+        for texts in _texts(batch.column("text")):
             for s in shingle_sets(texts):
                 n.append(len(s))
                 sets.append(digest(s) if len(s) else None)
@@ -64,7 +64,7 @@ def _band_rows(batches):
             continue
         keys = band_keys(_sketches(batch.column("sketch")))
         for band in range(BANDS):
-            yield pa.record_batch([pa.array(np.ascontiguousarray(keys[:, band])), batch.column("cid")], ["key", "cid"])
+            yield pa.record_batch([pa.array(np.ascontiguousarray(keys[:, band])), batch.column("node")], ["key", "node"])
 
 
 def _sketches(column) -> np.ndarray:
@@ -126,32 +126,44 @@ def _hubs_first(sketches: np.ndarray) -> np.ndarray:
     return np.argsort(-(sketches == middle).sum(axis=1), kind="stable")
 
 
+def _stars(nodes: np.ndarray, forest) -> tuple[list, list]:
+    """(a, b): every reached node and the smallest node of its tree."""
+    root = np.arange(len(nodes))
+    for pivot, found in forest:
+        root[found] = root[pivot]
+    least = np.full(len(nodes), np.iinfo(np.int64).max)
+    np.minimum.at(least, root, nodes)
+    linked = np.flatnonzero(nodes != least[root])
+    return nodes[linked].tolist(), least[root[linked]].tolist()
+
+
+def _edges(a: list, b: list) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def _bucket_edges(batches):
-    """(a, b): a forest of each bucket's likely pairs."""
+    """(a, b): a star for each tree of a bucket's likely pairs."""
     a, b = [], []
     for run in _runs(batches, ["key", "i", "j"]):
-        cid = run["cid"].to_pylist()
         sketches, size = _sketches(run["sketch"]), run["n_shingles"].to_numpy()
 
         def likely(p, rest):
             return similarity(sketches[p], sketches[rest], np.maximum(size[p], size[rest])) >= LIKELY
 
-        for p, found in _forest(len(cid), likely, _hubs_first(sketches)):
-            a += [cid[p]] * len(found)
-            b += [cid[x] for x in found]
+        x, y = _stars(run["node"].to_numpy(), _forest(len(size), likely, _hubs_first(sketches)))
+        a += x
+        b += y
         if len(a) > 5000:
-            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+            yield _edges(a, b)
             a, b = [], []
-    if a:
-        yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+    yield _edges(a, b)
 
 
 def _verified_edges(percent: int):
-    """mapInArrow over classes sorted by cluster and pair of blocks: forests of
-    the pairs whose full sets are similar enough."""
+    """mapInArrow over classes sorted by cluster and pair of blocks: a star for
+    each tree of pairs whose full sets are similar enough."""
     def run(batches):
         for table in _runs(batches, ["cluster", "i", "j"]):
-            cid = table["cid"].to_pylist()
             sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
             sizes = np.array([len(s) for s in sets])
             sketches = np.stack([sketch(s) for s in sets])
@@ -171,12 +183,7 @@ def _verified_edges(percent: int):
                 marks[mine] = False
                 return ok
 
-            a, b = [], []
-            for p, found in _forest(len(cid), linked, _hubs_first(sketches)):
-                a += [cid[p]] * len(found)
-                b += [cid[x] for x in found]
-            if a:
-                yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+            yield _edges(*_stars(table["node"].to_numpy(), _forest(len(sizes), linked, _hubs_first(sketches))))
     return run
 
 
@@ -184,7 +191,7 @@ def _block_pairs(rows: DataFrame, blocks: Column) -> DataFrame:
     """Each row once per pair (i, j), i <= j, of blocks that holds its own block;
     one block: (0, 0) only."""
     rows = rows.withColumn("blocks", blocks).withColumn(
-        "mine", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+        "mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "*", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).drop("blocks", "mine", "other")
 
@@ -205,51 +212,50 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
                          F.col("text").cast("binary").alias("text"))
     keyed = "r1 long, r2 long, doc_id long, n_shingles long, cid binary, sketch binary"
     rows = stored(source.mapInArrow(_sketch_rows, keyed), "sketches")
-    classes = stored(rows.filter("cid is not null").groupBy("cid").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.min(F.struct("r1", "r2")).alias("row"),
-        F.first("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch")), "classes")
+    classes = rows.filter("cid is not null").groupBy("cid").agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first(F.struct("r1", "r2")).alias("row"),
+        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    # stored once, so a class keeps its number
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    bands = classes.select("cid", "sketch").mapInArrow(_band_rows, "key long, cid binary")
+    bands = classes.select("node", "sketch").mapInArrow(_band_rows, "key long, node long")
     shared = stored(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    members = lookup_join(bands, shared, ["key"], "n").join(
-        classes.select("cid", "sketch", "n_shingles"), "cid")
+    members = bands.join(shared, "key").join(classes.select("node", "sketch", "n_shingles"), "node")
     edges = (_block_pairs(members, F.ceil(F.col("n") / BUCKET_BLOCK).cast("int"))
-             .select("key", "i", "j", "cid", "sketch", "n_shingles")
+             .select("key", "i", "j", "node", "sketch", "n_shingles")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-             .mapInArrow(_bucket_edges, "a binary, b binary"))
+             .mapInArrow(_bucket_edges, "a long, b long"))
     clusters = stored(components(edges), "clusters")
 
     # the full sets of the classes in clusters, from one row of each class
-    sized = clusters.join(classes.select(F.col("cid").alias("node"), "row", "n_shingles"), "node")
-    weight = sized.groupBy("root").agg(F.ceil(F.sum("n_shingles") / CLUSTER_BLOCK).cast("int").alias("blocks"),
-                                       F.count(F.lit(1)).alias("n"))
-    weight = stored(weight, "cluster-sizes")
-    wanted = lookup_join(sized, weight, ["root"], "n").select(
-        F.col("row.r1").alias("r1"), F.col("row.r2").alias("r2"), F.col("node").alias("cid"), "root", "blocks")
+    sized = clusters.join(classes.select("node", "row", "n_shingles"), "node")
+    weight = stored(sized.groupBy("root").agg(
+        F.ceil(F.sum("n_shingles") / CLUSTER_BLOCK).cast("int").alias("blocks")), "cluster-sizes")
+    wanted = sized.join(weight, "root").select("row.r1", "row.r2", "node", F.col("root").alias("cluster"), "blocks")
 
     def with_sets(batches):
         for batch in batches:
-            sets = []
-            for _, texts in _texts(batch.column("text")):
-                sets += [s.tobytes() for s in shingle_sets(texts)]
+            sets = [x.tobytes() for texts in _texts(batch.column("text")) for x in shingle_sets(texts)]
             yield batch.drop_columns(["text"]).append_column("shingles", pa.array(sets, pa.binary()))
 
-    texts = (source.select("r1", "r2", "text").join(wanted, ["r1", "r2"])
-             .dropDuplicates(["r1", "r2"]).select("cid", F.xxhash64("root").alias("cluster"), "blocks", "text"))
-    full = texts.mapInArrow(with_sets, "cid binary, cluster long, blocks int, shingles binary")
-    verified = stored(_block_pairs(full, F.col("blocks")).select("cluster", "i", "j", "cid", "shingles")
+    texts = source.select("r1", "r2", "text").join(stored(wanted, "wanted"), ["r1", "r2"])
+    full = (texts.select("node", "cluster", "blocks", "text").dropDuplicates(["node"])
+            .mapInArrow(with_sets, "node long, cluster long, blocks int, shingles binary"))
+    verified = stored(_block_pairs(full, F.col("blocks"))
+                      .select("cluster", "i", "j", "node", "shingles")
                       .repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-                      .mapInArrow(_verified_edges(percent), "a binary, b binary"), "verified")
-
-    groups = stored(components(verified), "groups")
-    grouped = classes.select("cid", "least", "n").join(groups.withColumnRenamed("node", "cid"), "cid", "left") \
-        .withColumn("root", F.coalesce("root", "cid"))
-    first = stored(grouped.groupBy("root").agg(F.min("least").alias("component_id"),
-                                               F.count(F.lit(1)).alias("members")), "group-ids")
-    answer = stored(lookup_join(grouped, first, ["root"], "members").select("cid", "n", "root", "component_id"), "answer")
+                      .mapInArrow(_verified_edges(percent), "a long, b long"), "verified")
+
+    # stars of clusters in one block are whole; others meet in their common nodes
+    groups = (verified.select(F.col("a").alias("node"), F.col("b").alias("root"))
+              if weight.filter("blocks > 1").isEmpty() else stored(components(verified), "groups"))
+    grouped = classes.select("cid", "node", "least", "n").join(groups, "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
+    first = stored(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "group-ids")
+    answer = stored(grouped.join(first, "root").select("cid", "n", "root", "component_id"), "answer")
     linked = lookup_join(rows.filter("cid is not null").drop("sketch"), answer, ["cid"], "n")
     alone = (rows.filter("cid is null").drop("sketch").withColumn("n", F.lit(1).cast("long"))
-             .withColumn("root", F.lit(None).cast("binary")).withColumn("component_id", F.col("doc_id")))
+             .withColumn("root", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id")))
     return linked.unionByName(alone).select(
         "r1", "r2", "doc_id", "n_shingles", "component_id", "root",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
