@@ -1,7 +1,7 @@
 """Grid search over MLlib classifiers with a
 runs table.
 
-One generic ``grid_search`` replaces five copies of the same loop.  The runs
+One generic ``grid_search`` serves all model kinds.  The runs
 table (Parquet, append-only) is the resume log: grid points already present
 are skipped with an anti join (E7), each finished fit appends one row (G1)
 and its fitted ``PipelineModel`` -- feature stages included -- is saved under
@@ -14,21 +14,25 @@ a sequence of Spark jobs over the cached training frame.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pyspark.ml.feature import IndexToString
 
 from basketlens.operators.features import category_feature_stages, intent_feature_stages
 from basketlens.schemas import RUNS_SCHEMA
+from basketlens.sources.sinks import is_missing
 
 # ---------------------------------------------------------------------------
 # The parameter grids of the original grid searches
@@ -61,6 +65,8 @@ PARAM_NAMES: dict[tuple[str, str], list[str]] = {
     ("category", "dt"): ["maxDepth"],
 }
 SEED = 42
+# fits that run at once: each is a chain of small jobs over the persisted vectors
+PARALLEL_FITS = 6
 
 _ESTIMATORS: dict[str, Callable] = {
     "rf": RandomForestClassifier,
@@ -72,11 +78,25 @@ _ESTIMATORS: dict[str, Callable] = {
 
 
 def params_key(point: Sequence) -> str:
-    """Display / resume key of a grid point: values joined with '_' (typed
-    values live in ``param_map``)."""
+    """Display key of a grid point: values joined with '_'."""
     return "_".join(str(v) for v in point)
 
 
+def param_map(task: str, model: str, point: Sequence) -> dict[str, str]:
+    """Named params in canonical text: 100, 100.0 and 1e2 are the same number."""
+    return {n: str(v) if isinstance(v, (str, bool)) else repr(float(v))
+            for n, v in zip(PARAM_NAMES.get((task, model), [f"p{i}" for i in range(len(point))]), point)}
+
+
+def _map_text(params: dict[str, str]) -> str:
+    return ",".join(sorted(f"{k}={v}" for k, v in params.items()))
+
+
+def _map_text_column() -> Column:
+    pairs = F.transform(F.map_entries("param_map"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return F.array_join(F.array_sort(pairs), ",")
+
+
 def make_estimator(task: str, model: str, point: Sequence):
     kwargs = dict(zip(PARAM_NAMES[(task, model)], point))
     if model in ("rf", "dt", "gbt"):
@@ -84,21 +104,23 @@ def make_estimator(task: str, model: str, point: Sequence):
     return _ESTIMATORS[model](featuresCol="features", labelCol="label", **kwargs)
 
 
-def make_pipeline(task: str, model: str, point: Sequence,
-                  labels: Sequence[str] | None = None) -> Pipeline:
-    """Feature stages + classifier (+ for categories: index -> class name)."""
-    if task == "intent":
-        return Pipeline(stages=[*intent_feature_stages(), make_estimator(task, model, point)])
-    return Pipeline(stages=[*category_feature_stages(), make_estimator(task, model, point),
-                            IndexToString(inputCol="prediction", outputCol="predicted_category",
-                                          labels=list(labels or []))])
+def feature_pipeline(task: str) -> Pipeline:
+    return Pipeline(stages=intent_feature_stages() if task == "intent" else category_feature_stages())
+
+
+def served_pipeline(task: str, features: PipelineModel, fitted, labels: Sequence[str] | None) -> PipelineModel:
+    """Fitted feature stages + classifier (+ for categories: index -> class name)."""
+    names = [] if task == "intent" else [IndexToString(
+        inputCol="prediction", outputCol="predicted_category", labels=list(labels or []))]
+    return PipelineModel([*features.stages, fitted, *names])
 
 
 def evaluate(task: str, predictions: DataFrame) -> dict[str, float | None]:
-    """J7 / J8 / J9 with MLlib's evaluators (distributed)."""
+    """J7 / J8 / J9 with MLlib's evaluators (distributed); every distinct score is
+    a threshold (numBins 0), so the areas are exact at any size."""
     if task == "intent":
-        roc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-        pr = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
+        roc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
+        pr = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR", numBins=0)
         # two metrics over one scoring pass: keep the two columns they read
         scored = predictions.select("rawPrediction", "label").persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -111,61 +133,75 @@ def evaluate(task: str, predictions: DataFrame) -> dict[str, float | None]:
 
 
 def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
-    """The runs table, or an empty one with the declared schema."""
+    """The runs table, or an empty one with the declared schema if there is none."""
     try:
         return spark.read.schema(RUNS_SCHEMA).parquet(runs_path)
-    except Exception:  # not written yet
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return spark.createDataFrame([], RUNS_SCHEMA)
 
 
 def grid_frame(spark: SparkSession, task: str, grids: dict[str, list[tuple]]) -> DataFrame:
-    rows = [(task, m, params_key(p), i) for m, pts in grids.items() for i, p in enumerate(pts)]
-    return spark.createDataFrame(rows, "task string, model string, params string, grid_pos int")
+    rows = [(task, m, params_key(p), i, _map_text(param_map(task, m, p)))
+            for m, pts in grids.items() for i, p in enumerate(pts)]
+    return spark.createDataFrame(rows, "task string, model string, params string, grid_pos int, typed string")
 
 
 def pending_grid(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
                  runs_path: str) -> DataFrame:
-    """Grid points not yet in the runs table (left anti join)."""
-    done = read_runs(spark, runs_path).select("task", "model", "params")
-    return grid_frame(spark, task, grids).join(done, ["task", "model", "params"], "left_anti")
+    """Grid points not yet in the runs table (left anti join on typed params)."""
+    done = read_runs(spark, runs_path).select("task", "model", _map_text_column().alias("typed"))
+    return grid_frame(spark, task, grids).join(done, ["task", "model", "typed"], "left_anti").drop("typed")
+
+
+_APPEND_LOCK = threading.Lock()
 
 
 def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
                 train: DataFrame, test: DataFrame, runs_path: str, model_root: str,
-                labels: Sequence[str] | None = None) -> DataFrame:
+                labels: Sequence[str] | None = None, features: PipelineModel | None = None,
+                parallel: int = PARALLEL_FITS) -> DataFrame:
     """Fit every pending grid point, append one run row per fit, save each
     fitted pipeline; return the runs rows of this task.
 
-    The loop is over model configurations (a fixed, small list); every fit
-    and evaluation inside it is a distributed Spark job.  The caller passes
-    train / test frames that are cheap to re-read (a written table); for the
-    category task they carry the class index ``label`` and ``labels`` names
-    the classes in index order.
+    The feature stages (``features``, else fitted on ``train``) run once; the
+    classifiers are fitted on their persisted vectors, ``parallel`` at a time.
+    The loop is over model configurations (a fixed, small list); every fit and
+    evaluation inside it is a distributed Spark job.  For the category task the
+    frames carry the class index ``label`` and ``labels`` names the classes in
+    index order.
     """
-    pend = {(r["model"], r["params"]) for r in
-            pending_grid(spark, task, grids, runs_path).collect()}
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    pend = {(r["model"], r["grid_pos"]) for r in pending_grid(spark, task, grids, runs_path).collect()}
+    todo = [(m, p) for m, points in grids.items() for i, p in enumerate(points) if (m, i) in pend]
+    if not todo:
+        return read_runs(spark, runs_path).filter(F.col("task") == task)
+    features = features or feature_pipeline(task).fit(train)
+    train, test = (features.transform(x).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+                   for x in (train, test))
+
+    def fit(model: str, point: tuple) -> None:
+        fitted = make_estimator(task, model, point).fit(train)
+        metrics = evaluate(task, fitted.transform(test))
+        run_id = f"{task}-{model}-{params_key(point)}-{uuid.uuid4().hex[:8]}"
+        path = f"{model_root}/{run_id}"
+        pipeline = served_pipeline(task, features, fitted, labels)
+        pipeline.write().overwrite().save(path)
+        row = spark.createDataFrame(
+            [(run_id, task, model, params_key(point), param_map(task, model, point),
+              estimator_params_json(pipeline), metrics["auc"], metrics["pr_auc"], metrics["accuracy"], path)],
+            "run_id string, task string, model string, params string, "
+            "param_map map<string,string>, model_params string, auc double, "
+            "pr_auc double, accuracy double, model_path string")
+        with _APPEND_LOCK:                       # one append job commits at a time
+            append_run(row.withColumn("trained_at", F.current_timestamp()), runs_path)
+
     try:
-        for model, points in grids.items():
-            for point in points:
-                key = params_key(point)
-                if (model, key) not in pend:
-                    continue
-                fitted = make_pipeline(task, model, point, labels).fit(train)
-                metrics = evaluate(task, fitted.transform(test))
-                run_id = f"{task}-{model}-{key}-{uuid.uuid4().hex[:8]}"
-                path = f"{model_root}/{run_id}"
-                fitted.write().overwrite().save(path)
-                pmap = {n: float(v) for n, v in zip(PARAM_NAMES[(task, model)], point)
-                        if isinstance(v, (int, float))}
-                row = spark.createDataFrame(
-                    [(run_id, task, model, key, pmap, estimator_params_json(fitted),
-                      metrics["auc"], metrics["pr_auc"], metrics["accuracy"], path)],
-                    "run_id string, task string, model string, params string, "
-                    "param_map map<string,double>, model_params string, auc double, "
-                    "pr_auc double, accuracy double, model_path string")
-                append_run(row.withColumn("trained_at", F.current_timestamp()), runs_path)
+        # the slowest kinds first, so that they don't come last alone
+        todo.sort(key=lambda x: ("gbt", "rf", "lr", "dt", "nb").index(x[0]))
+        train.count(), test.count()
+        with ThreadPool(max(1, min(parallel, len(todo)))) as pool:
+            pool.starmap(inheritable_thread_target(fit), todo, chunksize=1)
     finally:
         train.unpersist()
         test.unpersist()
@@ -222,7 +258,7 @@ def best_per_model(runs: DataFrame, task: str = "category") -> DataFrame:
 def runs_with_params(runs: DataFrame, task: str, model: str, point: Sequence) -> DataFrame:
     """Runs of a model whose typed params equal a given point."""
     return runs.filter((F.col("task") == task) & (F.col("model") == model)
-                       & (F.col("params") == params_key(point)))
+                       & (_map_text_column() == _map_text(param_map(task, model, point))))
 
 
 def load_run_model(runs_row) -> PipelineModel:

@@ -123,7 +123,81 @@ FROM binned, b GROUP BY {by_sel}bin, b.lo, b.hi
 """
 
 
+# the runs computed from the data: feature AUC per category, hit share per category pair
+_RUNS = _BASE + """
+, long AS (
+  SELECT 'num_views' AS feature, main_category, CAST(num_views AS DOUBLE) AS score, label FROM labeled
+  UNION ALL SELECT 'num_cart_adds', main_category, CAST(num_cart_adds AS DOUBLE), label FROM labeled
+  UNION ALL SELECT 'unique_categories', main_category, CAST(unique_categories AS DOUBLE), label FROM labeled),
+ps AS (
+  SELECT feature, main_category, score, count(*) FILTER (WHERE label = 1) AS pos,
+         count(*) FILTER (WHERE label = 0) AS neg FROM long GROUP BY ALL),
+cum AS (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature, main_category ORDER BY score
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+  FROM ps),
+runs AS (
+  SELECT 'intent' AS task, feature AS model, main_category AS params,
+         sum(CAST(pos AS DOUBLE) * (CAST(neg_below AS DOUBLE) + CAST(neg AS DOUBLE) * 0.5::DOUBLE))
+           / nullif(CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0) AS auc,
+         CAST(NULL AS DOUBLE) AS pr_auc, CAST(NULL AS DOUBLE) AS accuracy
+  FROM cum GROUP BY ALL
+  UNION ALL
+  SELECT 'category', main_category, label_category, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+         CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY main_category) AS DOUBLE)
+  FROM (SELECT main_category, label_category, count(*) AS n FROM catsess GROUP BY ALL)
+),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY task, model
+    ORDER BY CASE WHEN task = 'intent' THEN auc ELSE accuracy END DESC NULLS LAST,
+             task || '-' || model || '-' || params) AS rn FROM runs)
+"""
+_RUN_COLS = "task, model, params, auc, pr_auc, accuracy"
+
 ORACLE_SQL: dict[str, str] = {
+    "data_runs": _RUNS + f"SELECT task || '-' || model || '-' || params AS run_id, {_RUN_COLS} FROM runs",
+    "data_best_grid_row": _RUNS + f"SELECT {_RUN_COLS} FROM best WHERE rn = 1",
+    "data_best_model": _RUNS + f"""SELECT {_RUN_COLS} FROM runs WHERE task = 'intent'
+ORDER BY auc DESC NULLS LAST, model, params LIMIT 1""",
+    "data_best_run": _RUNS + f"""SELECT {_RUN_COLS} FROM runs WHERE task = 'category'
+ORDER BY accuracy DESC NULLS LAST, model, params LIMIT 1""",
+    "data_model_scores": _RUNS + """
+SELECT model, params, auc, pr_auc, accuracy FROM best WHERE rn = 1 AND task = 'intent'""",
+    "data_best_per_model": _RUNS + """
+SELECT model, max(accuracy) AS max_accuracy FROM runs WHERE task = 'category' GROUP BY model""",
+    "data_pending_grid": _RUNS + """
+SELECT task, model, params FROM runs WHERE task = 'intent' AND model <> 'num_views'""",
+    "data_run_by_params": _RUNS + f"""
+SELECT {_RUN_COLS} FROM runs WHERE task = 'intent' AND model = 'num_views'
+  AND params = (SELECT min(params) FROM runs WHERE task = 'intent')""",
+    "scored_rows_checked": _BASE + f"""
+SELECT user_session, num_views, num_cart_adds, unique_categories, main_category, label, true AS prob_ok
+FROM labeled WHERE NOT {_HASH_SPLIT}""",
+    "top3_checked": _BASE + f"""
+SELECT user_session, label_category, CAST(3 AS INTEGER) AS n_distinct, true AS known
+FROM catsess WHERE NOT {_HASH_SPLIT}""",
+    "index_label_roundtrip": _BASE + """
+SELECT c.user_session, CAST(m.idx AS DOUBLE) AS "index", c.label_category AS predicted_category
+FROM catsess c JOIN catmap m USING (label_category)""",
+    "index_accuracy": _BASE + """
+SELECT count(*) AS n, count(*) FILTER (WHERE m.idx = 0) AS correct,
+       avg(CASE WHEN m.idx = 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy
+FROM catsess c JOIN catmap m USING (label_category)""",
+    "assembled_slots": _BASE + """
+, slots AS (
+  SELECT user_session, 0 AS slot, CAST(num_views AS DOUBLE) AS value FROM labeled
+  UNION ALL SELECT user_session, 1, CAST(num_cart_adds AS DOUBLE) FROM labeled
+  UNION ALL SELECT user_session, 2, CAST(session_duration AS DOUBLE) FROM labeled
+  UNION ALL SELECT user_session, 3, round(avg_price, 6) FROM labeled
+  UNION ALL SELECT user_session, 4, CAST(unique_categories AS DOUBLE) FROM labeled
+  UNION ALL SELECT l.user_session, CAST(5 + m.idx AS INTEGER), 1.0::DOUBLE
+            FROM labeled l JOIN labelmap m USING (main_category))
+SELECT user_session, CAST(slot AS INTEGER) AS slot, value FROM slots WHERE value <> 0""",
+    "stream_threshold_checked": _BASE + """
+SELECT user_session, CAST(num_views AS DOUBLE) AS num_views, CAST(num_cart_adds AS DOUBLE) AS num_cart_adds,
+       CAST(num_purchases AS DOUBLE) AS num_purchases, main_category, true AS prob_ok,
+       CAST(3 AS INTEGER) AS n_distinct
+FROM catsess""",
     "load_events": _BASE + "SELECT * FROM raw",
     "load_events_csv": _BASE + "SELECT * EXCLUDE (event_id) FROM raw",
     "clean_events": _BASE + "SELECT * FROM clean",
@@ -177,10 +251,11 @@ FROM f ORDER BY viewed DESC, main_category""",
                        + _hist("avg_price", 40, "lr", "label"),
     "duration_price_grid": _BASE + """
 , inr AS (SELECT label, session_duration, round(avg_price, 6) AS avg_price FROM labeled
-          WHERE session_duration BETWEEN 0 AND 5000 AND avg_price IS NOT NULL),
+          WHERE avg_price IS NOT NULL),
 b AS (SELECT min(avg_price) AS lo, max(avg_price) AS hi FROM inr)
 SELECT label,
-       CAST(least(floor(session_duration * 20 / 5000.0::DOUBLE), 19) AS INTEGER) AS duration_bin,
+       CASE WHEN session_duration > 5000 THEN 20 ELSE
+         CAST(least(floor(session_duration * 20 / 5000.0::DOUBLE), 19) AS INTEGER) END AS duration_bin,
        CAST(least(coalesce(floor((avg_price - b.lo) / nullif(b.hi - b.lo, 0) * 20.0::DOUBLE), 0), 19)
             AS INTEGER) AS price_bin,
        count(*) AS n
@@ -246,8 +321,7 @@ UNION ALL SELECT main_category, 'Cart Add', count(*) FILTER (WHERE num_cart_adds
 UNION ALL SELECT main_category, 'Purchased', count(*) FILTER (WHERE label = 1) FROM t
           GROUP BY main_category""".replace("{split}", _HASH_SPLIT),
     # 30-minute session windows per user_session over timed, categorised
-    # clean events; an availableNow run emits the windows that the final
-    # watermark (max event time - 1 hour) has closed: end <= watermark.
+    # clean events: those the watermark closed and those open at the end.
     "stream_session_features": _BASE + """
 , tev AS (SELECT * FROM cat WHERE event_time IS NOT NULL),
 marked AS (
@@ -278,8 +352,7 @@ w AS (
   FROM numbered GROUP BY user_session, sess_no)
 SELECT w.user_session, window_start, window_end, num_views, num_cart_adds, num_purchases,
        session_start, session_end, avg_price, session_duration, t.main_category, unique_categories
-FROM w JOIN top2 t USING (user_session, sess_no)
-WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM tev)""",
+FROM w JOIN top2 t USING (user_session, sess_no)""",
     "pre_purchase_sessions": _BASE + """
 , fp AS (SELECT user_session, min(event_time) AS fpt FROM clean
          WHERE event_type = 'purchase' AND event_time IS NOT NULL GROUP BY user_session),

@@ -25,8 +25,7 @@ from basketlens.operators import funnel as fn
 from basketlens.operators.clean import categorized_events
 from basketlens.operators.sessions import (labeled_sessions, purchase_labels,
                                            session_category_counts, session_main_category)
-from basketlens.plans import streams, tables, training
-from basketlens.plans.registry_support import QUICK_CATEGORY, QUICK_INTENT
+from basketlens.plans import data_runs, streams, tables, training
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
 from basketlens.session import scratch_path
 from basketlens.schemas import RAW_EVENT_CSV_SCHEMA
@@ -73,7 +72,7 @@ def q_load_events_csv(spark, sf_dir):
     text = raw.select(*[(F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string"))
                         .alias(c) for c in RAW_EVENT_CSV_SCHEMA.fieldNames()])
     text.write.option("header", True).csv(path)
-    return load_events_csv(spark, path).drop("event_id")
+    return load_events_csv(spark, path).drop("event_id", "corrupt_record")
 
 
 def q_sample_rows(spark, sf_dir):
@@ -229,20 +228,20 @@ RUN_COLUMNS = ["task", "model", "params", "auc", "pr_auc", "accuracy"]
 
 def _train_one(model: str):
     def q(spark, sf_dir):
-        runs = training.train(spark, sf_dir, "intent", {model: QUICK_INTENT[model]})
+        runs = training.train(spark, sf_dir, "intent", {model: models.INTENT_GRIDS[model]})
         return runs.filter(F.col("model") == model).select(*RUN_COLUMNS)
     q.__name__ = f"q_train_{model}"
     return q
 
 
 def _runs(spark, sf_dir):
-    training.train(spark, sf_dir, "intent", QUICK_INTENT)
-    training.train(spark, sf_dir, "category", QUICK_CATEGORY)
+    training.train(spark, sf_dir, "intent")
+    training.train(spark, sf_dir, "category")
     return models.read_runs(spark, training.runs_path(spark, sf_dir))
 
 
 def q_train_category(spark, sf_dir):
-    return training.train(spark, sf_dir, "category", QUICK_CATEGORY).select(*RUN_COLUMNS)
+    return training.train(spark, sf_dir, "category").select(*RUN_COLUMNS)
 
 
 def q_append_results(spark, sf_dir):
@@ -277,13 +276,13 @@ def q_best_per_model(spark, sf_dir):
 
 
 def _intent_test(spark, sf_dir):
-    model, _ = training.best_pipeline(spark, sf_dir, "intent", QUICK_INTENT)
+    model, _ = training.best_pipeline(spark, sf_dir, "intent")
     _, test = split_train_test(training.intent_sessions(spark, sf_dir))
     return model, test
 
 
 def _category_test(spark, sf_dir):
-    model, _ = training.best_pipeline(spark, sf_dir, "category", QUICK_CATEGORY)
+    model, _ = training.best_pipeline(spark, sf_dir, "category")
     cs = training.category_sessions(spark, sf_dir)
     _, test = split_train_test(fit_category_labels(cs).transform(cs))
     return model, test
@@ -307,8 +306,9 @@ def q_scored_store(spark, sf_dir):
 def q_run_by_params(spark, sf_dir):
     """The runs of a model whose typed params equal a given grid point."""
     runs = _runs(spark, sf_dir)
-    model, point = "lr", QUICK_INTENT["lr"][0]
-    return models.runs_with_params(runs, "intent", model, point).select(*RUN_COLUMNS, "model_path")
+    model, point = "lr", models.INTENT_GRIDS["lr"][1]
+    return models.runs_with_params(runs, "intent", model, point).select(*RUN_COLUMNS, "param_map", "model_params",
+                                                                        "model_path")
 
 
 def q_purchase_probability(spark, sf_dir):
@@ -330,7 +330,7 @@ def q_auc(spark, sf_dir):
 def q_auc_pr(spark, sf_dir):
     """Area under the precision-recall curve of the best intent model."""
     model, test = _intent_test(spark, sf_dir)
-    pr = models.BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
+    pr = models.BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR", numBins=0)
     return spark.createDataFrame([(pr.evaluate(model.transform(test)),)], "pr_auc double")
 
 
@@ -353,7 +353,7 @@ def q_decoded_predictions(spark, sf_dir):
 
 
 def q_feature_importances(spark, sf_dir):
-    runs = training.train(spark, sf_dir, "intent", {"rf": QUICK_INTENT["rf"]})
+    runs = training.train(spark, sf_dir, "intent", {"rf": models.INTENT_GRIDS["rf"]})
     row = models.best_grid_row(runs.filter(F.col("model") == "rf")).first()
     return feature_importances(spark, models.load_run_model(row), "intent")
 
@@ -363,6 +363,88 @@ def q_what_if(spark, sf_dir):
     return purchase_uplift(model, test, extra_cart_adds=1)
 
 
+# ---------------------------------------------------------------------------
+# Runs computed from the data: the queries over the runs table, with an oracle
+# ---------------------------------------------------------------------------
+def q_data_runs(spark, sf_dir):
+    return data_runs.runs(spark, sf_dir).select("run_id", *RUN_COLUMNS)
+
+
+def q_data_best_grid_row(spark, sf_dir):
+    return models.best_grid_row(data_runs.runs(spark, sf_dir)).select(*RUN_COLUMNS)
+
+
+def q_data_best_model(spark, sf_dir):
+    return models.best_model(data_runs.runs(spark, sf_dir), "intent").select(*RUN_COLUMNS)
+
+
+def q_data_best_run(spark, sf_dir):
+    return models.best_model(data_runs.runs(spark, sf_dir), "category").select(*RUN_COLUMNS)
+
+
+def q_data_model_scores(spark, sf_dir):
+    return models.model_scores(data_runs.runs(spark, sf_dir), "intent")
+
+
+def q_data_best_per_model(spark, sf_dir):
+    return models.best_per_model(data_runs.runs(spark, sf_dir), "category")
+
+
+def q_data_pending_grid(spark, sf_dir):
+    return data_runs.pending(spark, sf_dir).select("task", "model", "params")
+
+
+def q_data_run_by_params(spark, sf_dir):
+    """E8 over all sessions: the runs of one feature on one category."""
+    runs = data_runs.runs(spark, sf_dir)
+    first = runs.filter("task = 'intent'").agg(F.min("params")).first()[0]
+    return models.runs_with_params(runs, "intent", "num_views", (first,)).select(*RUN_COLUMNS)
+
+
+def _in_unit(column: str):
+    return F.col(column).between(0.0, 1.0)
+
+
+def q_scored_rows_checked(spark, sf_dir):
+    """Scored test sessions: keys, inputs and label as given, probability in range."""
+    model, test = _intent_test(spark, sf_dir)
+    return score_intent(model, test).select(
+        "user_session", "num_views", "num_cart_adds", "unique_categories", "main_category", "label",
+        _in_unit("purchase_prob").alias("prob_ok"))
+
+
+def q_top3_checked(spark, sf_dir):
+    """Top three categories of the test sessions: three different ones, known ones."""
+    model, test = _category_test(spark, sf_dir)
+    top = F.col("top3_categories")
+    return score_category(model, test).select(
+        "user_session", "label_category", F.size(F.array_distinct(top)).alias("n_distinct"),
+        (~F.array_contains(top, "unknown")).alias("known"))
+
+
+def q_index_label_roundtrip(spark, sf_dir):
+    """Class index -> name by the label map, on the true index of each session."""
+    cs = training.category_sessions(spark, sf_dir)
+    fitted = fit_category_labels(cs)
+    rows = fitted.transform(cs).withColumn("prediction", F.col("label"))
+    return decode_predictions(rows, label_map(spark, fitted)).select(
+        "user_session", F.col("label").alias("index"), "predicted_category")
+
+
+def q_index_accuracy(spark, sf_dir):
+    """J9 through ``accuracy``: class 0 (the commonest) predicted for every session."""
+    cs = training.category_sessions(spark, sf_dir)
+    return accuracy(fit_category_labels(cs).transform(cs).withColumn("prediction", F.lit(0.0)))
+
+
+def q_assembled_slots(spark, sf_dir):
+    """The assembled vector, a row per slot that isn't 0."""
+    lab = tables.rounded_price(training.intent_sessions(spark, sf_dir))
+    vectors = fit_intent_features(lab).transform(lab).select(
+        "user_session", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return vectors.filter("value <> 0")
+
+
 # ---------------------------------------------------------------------------
 # Streaming (file source + availableNow; Kafka is the same transform)
 # ---------------------------------------------------------------------------
@@ -384,6 +466,14 @@ def q_stream_threshold(spark, sf_dir):
     return streams.read_output(spark, paths["scored"]).drop("batch_id")
 
 
+def q_stream_threshold_checked(spark, sf_dir):
+    """K2: every session of two replays comes once, with its first message's fields."""
+    scored = q_stream_threshold(spark, sf_dir)
+    fields = [F.col(f"features.{c}").alias(c) for c in ("num_views", "num_cart_adds", "num_purchases", "main_category")]
+    return scored.select("user_session", *fields, _in_unit("purchase_prob").alias("prob_ok"),
+                         F.size(F.array_distinct("top3_categories")).alias("n_distinct"))
+
+
 def q_stream_quarantine(spark, sf_dir):
     paths = streams.run_scoring(spark, sf_dir, foreign=True)
     return streams.read_output(spark, paths["quarantine"]).select("value")
@@ -452,6 +542,20 @@ QUERIES: dict[str, Query] = {
     "decoded_predictions": q_decoded_predictions,
     "feature_importances": q_feature_importances,
     "what_if": q_what_if,
+    "data_runs": q_data_runs,
+    "data_best_grid_row": q_data_best_grid_row,
+    "data_best_model": q_data_best_model,
+    "data_best_run": q_data_best_run,
+    "data_model_scores": q_data_model_scores,
+    "data_best_per_model": q_data_best_per_model,
+    "data_pending_grid": q_data_pending_grid,
+    "data_run_by_params": q_data_run_by_params,
+    "scored_rows_checked": q_scored_rows_checked,
+    "top3_checked": q_top3_checked,
+    "index_label_roundtrip": q_index_label_roundtrip,
+    "index_accuracy": q_index_accuracy,
+    "assembled_slots": q_assembled_slots,
+    "stream_threshold_checked": q_stream_threshold_checked,
     "stream_source": q_stream_source,
     "stream_scores": q_stream_scores,
     "stream_sink": q_stream_sink,

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from basketlens.operators import models
 from basketlens.plans import training
 
-QUICK_INTENT = training.first_points(models.INTENT_GRIDS)
-QUICK_CATEGORY = training.first_points(models.CATEGORY_GRIDS)
 
-
-def quick_models(spark: SparkSession, sf_dir: str):
-    """K9: the best intent and category pipelines after the quick grids
-    (resumed from the runs table when already trained)."""
-    intent, _ = training.best_pipeline(spark, sf_dir, "intent", QUICK_INTENT)
-    category, _ = training.best_pipeline(spark, sf_dir, "category", QUICK_CATEGORY)
+def best_models(spark: SparkSession, sf_dir: str):
+    """K9: the best intent and category pipelines of the whole grids (resumed
+    from the runs table when already trained)."""
+    intent, _ = training.best_pipeline(spark, sf_dir, "intent")
+    category, _ = training.best_pipeline(spark, sf_dir, "category")
     return intent, category

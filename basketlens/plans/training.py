@@ -42,14 +42,11 @@ def model_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{workspace(spark, sf_dir)}/models"
 
 
-def first_points(grids: dict[str, list[tuple]], models_: list[str] | None = None) -> dict:
-    """The first grid point of each model kind (the quick grid)."""
-    return {m: pts[:1] for m, pts in grids.items() if models_ is None or m in models_}
-
-
 def train(spark: SparkSession, sf_dir: str, task: str,
           grids: dict[str, list[tuple]] | None = None) -> DataFrame:
-    """Run (or resume) a grid search for a task; returns that task's runs."""
+    """Run (or resume) a task's grid search, all of its points unless ``grids``
+    says otherwise; returns that task's runs (of this data: the workspace
+    changes with it)."""
     labels = None
     if task == "intent":
         data, grids = intent_sessions(spark, sf_dir), grids or models.INTENT_GRIDS
@@ -58,8 +55,12 @@ def train(spark: SparkSession, sf_dir: str, task: str,
         indexer = fit_category_labels(data)     # one distributed count per category
         labels, data = list(indexer.labels), indexer.transform(data)
     tr, te = split_train_test(data)
-    return models.grid_search(spark, task, grids, tr, te, runs_path(spark, sf_dir),
-                              model_root(spark, sf_dir), labels)
+    runs, root = runs_path(spark, sf_dir), model_root(spark, sf_dir)
+    if models.pending_grid(spark, task, grids, runs).isEmpty():
+        return models.read_runs(spark, runs).filter(F.col("task") == task)
+    # index and vectors come from all sessions, the classifiers from the train split
+    features = models.feature_pipeline(task).fit(data)
+    return models.grid_search(spark, task, grids, tr, te, runs, root, labels, features)
 
 
 def best_pipeline(spark: SparkSession, sf_dir: str, task: str,

@@ -52,16 +52,6 @@ RAW_EVENT_CSV_SCHEMA = T.StructType([                # as the file holds it: tex
     T.StructField("user_session", T.StringType()),
 ])
 
-RAW_EVENT_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("event_time", T.TimestampNTZType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("product_id", T.IntegerType()),
-    T.StructField("category_code", T.StringType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("user_session", T.StringType()),
-])
 
 # The driver's test tables, columns as read (declared, so a read runs no
 # schema-inference job; only these columns are scanned)
@@ -113,7 +103,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("task", T.StringType()),          # intent | category
     T.StructField("model", T.StringType()),         # rf lr dt nb gbt
     T.StructField("params", T.StringType()),        # display key, "_"-joined
-    T.StructField("param_map", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("param_map", T.MapType(T.StringType(), T.StringType())),   # canonical values
     T.StructField("model_params", T.StringType()),  # JSON: every param of the fitted estimator
     T.StructField("auc", T.DoubleType()),
     T.StructField("pr_auc", T.DoubleType()),
@@ -121,16 +111,3 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("model_path", T.StringType()),
     T.StructField("trained_at", T.TimestampType()),
 ])
-
-# ---------------------------------------------------------------------------
-# T9 stream output
-# ---------------------------------------------------------------------------
-STREAM_FEATURES_STRUCT = T.StructType([
-    T.StructField("num_views", T.DoubleType()),
-    T.StructField("num_cart_adds", T.DoubleType()),
-    T.StructField("avg_price", T.DoubleType()),
-    T.StructField("session_duration", T.DoubleType()),
-    T.StructField("num_purchases", T.DoubleType()),
-    T.StructField("unique_categories", T.DoubleType()),
-    T.StructField("main_category", T.StringType()),
-])

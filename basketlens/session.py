@@ -65,17 +65,35 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (a test session) we fall back to the warehouse directory, which is shared
-    storage by the same convention, and register it as the checkpoint dir.
+    The cluster names it in ``spark.checkpoint.dir``; a folder set later with
+    ``setCheckpointDir`` comes first.  Only when neither is set (a test session)
+    we fall back to the warehouse directory, which is shared storage by the same
+    convention, and register it as the checkpoint dir; on a cluster a local
+    warehouse folder is refused, as every executor would write to its own disk.
     """
+    sc = spark.sparkContext
     root = _conf(spark, "spark.checkpoint.dir")
+    current = sc._jsc.sc().getCheckpointDir()
+    # Spark adds a folder of its own below the one it was given
+    set_to = current.get().rsplit("/", 1)[0] if current.isDefined() else None
+    if set_to and (not root or _plain(set_to) != _plain(root)):
+        return set_to.rstrip("/")
     if not root:
         root = _conf(spark, "spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.sparkContext.setCheckpointDir(root)
+        if root.split(":", 1)[0] in ("file", root) and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _plain(path: str) -> str:
+    return "/" + path.split(":", 1)[-1].strip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared scratch root."""
-    return f"{scratch_root(spark)}/basketlens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared scratch root; the folder goes when
+    the application ends."""
+    path = f"{scratch_root(spark)}/basketlens/{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

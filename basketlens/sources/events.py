@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketlens.functions.columns import parse_event_time, sample_sessions_flag
 from basketlens.schemas import (PRODUCT_SCHEMA, RAW_EVENT_CSV_SCHEMA, SAMPLE_FRACTION,
@@ -18,15 +19,23 @@ from basketlens.sources.sinks import dataset_workspace, materialized
 
 
 def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A1: header CSV of raw shop events with a declared schema (no inference pass).
-
-    Every column arrives as text, as in the source file; types are applied
-    here with ``try_`` casts so one bad field nulls that field, not the job.
-    An ``event_id`` is added for deterministic tie-breaks.
+    """A1: header CSV of raw shop events (no type-inference pass).
+
+    Columns are matched by the header's names, in whatever order it has them;
+    columns it lacks are NULL, others are ignored, and a file whose header
+    differs from the first one's is an error.  Every column arrives as text, as
+    in the source file; types are applied here with ``try_`` casts so one bad
+    field nulls that field, not the job.  A line that is not a record of this
+    header is kept in ``corrupt_record``.  An ``event_id`` is added for
+    deterministic tie-breaks.
     """
-    raw = (spark.read.schema(RAW_EVENT_CSV_SCHEMA)
-           .option("header", True).option("mode", "PERMISSIVE").csv(path))
-    return raw.select(
+    names = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names]
+                          + [T.StructField("corrupt_record", T.StringType())])
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt_record").csv(path))
+    absent = {c: F.lit(None).cast("string") for c in RAW_EVENT_CSV_SCHEMA.fieldNames() if c not in names}
+    return raw.withColumns(absent).select(
         F.monotonically_increasing_id().alias("event_id"),
         F.to_timestamp_ntz(parse_event_time("event_time")).alias("event_time"),
         "event_type",
@@ -34,7 +43,7 @@ def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
         "category_code",
         F.col("price").try_cast("double").alias("price"),
         F.col("user_id").try_cast("bigint").alias("user_id"),
-        "user_session",
+        "user_session", "corrupt_record",
     )
 
 
@@ -175,7 +184,7 @@ def stream_events_from_tables(spark: SparkSession, sf_dir: str,
     # products a future event may name are unknown: the whole dimension, size-checked
     products = product_categories(read_table(spark, sf_dir, "part"))
     return adapt_events(r.parquet(f"{base}/events*.parquet"), products,
-                        broadcast=broadcastable(products, cache_key=f"part:{base}"))
+                        broadcast=broadcastable(products, cache_key=f"part:{dataset_workspace(spark, sf_dir)}"))
 
 
 def read_scored_sessions(spark: SparkSession, path: str) -> DataFrame:

@@ -11,15 +11,16 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
-from pyspark.ml import PipelineModel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.schemas import SCORED_COLUMNS
 from basketlens.session import scratch_root
 
 # bump when a derived table's layout changes (stale tables are never reused)
-LAYOUT_VERSION = "v4"
+LAYOUT_VERSION = "v5"
 
 
 def _norm(p: str) -> str:
@@ -65,42 +66,67 @@ def save_scored_sessions(scored: DataFrame, path: str, mode: str = "overwrite")
     return write_table(scored.select(*scored_columns(scored)), path, mode=mode)
 
 
-def save_pipeline(model: PipelineModel, path: str) -> str:
-    """Persist a fitted pipeline (overwrite)."""
-    model.write().overwrite().save(path)
-    return path
+def fingerprint(spark: SparkSession, source: str) -> str:
+    """Changes when files below ``source`` are added, removed or rewritten: bytes,
+    number of files and folders, and the modification times of the folder and
+    its tables.  Answered by the file system, without reading data."""
+    path = source[4:] if source.startswith("csv:") else source
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(folder)
+    facts = [source.rstrip("/")]
+    for status in found or []:
+        total = fs.getContentSummary(status.getPath())
+        facts += [total.getLength(), total.getFileCount(), total.getDirectoryCount(), status.getModificationTime()]
+    for table in ("events", "part"):
+        part = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{table}.parquet")
+        if fs.exists(part):
+            facts.append(fs.getFileStatus(part).getModificationTime())
+    return hashlib.sha1(repr(facts).encode()).hexdigest()[:12]
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def dataset_workspace(spark: SparkSession, source: str) -> str:
+    """Folder of a dataset's derived tables and runs under the shared scratch
+    root; a changed dataset gets another one."""
+    return f"{scratch_root(spark)}/basketlens/{LAYOUT_VERSION}/{fingerprint(spark, source)}"
 
 
-def dataset_workspace(spark: SparkSession, source: str) -> str:
-    """Stable per-dataset folder under the shared scratch root."""
-    tag = hashlib.sha1(source.rstrip("/").encode()).hexdigest()[:12]
-    return f"{scratch_root(spark)}/basketlens/{LAYOUT_VERSION}/{tag}"
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because the table isn't there (or has no file yet)."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-_COMPLETE: set[str] = set()        # tables this process has written or found complete
+_COMPLETE: dict[str, str] = {}     # table -> folder of its complete data
 _BUILD_LOCK = threading.RLock()
 
 
+def _complete(spark: SparkSession, path: str) -> str | None:
+    """The data folder that the table's marker names, None without a marker."""
+    try:
+        row = spark.read.schema("folder string").parquet(f"{path}/complete").orderBy("folder").first()
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        return None
+    return row["folder"] if row else None
+
+
 def materialized(spark: SparkSession, path: str, build, schema=None) -> DataFrame:
     """Read a written table, writing it first when absent or incomplete.
 
-    A one-row marker table is written only after the table's own write job
-    has committed, so a run that died half-way (partial output of a
-    non-atomic job commit) is rebuilt instead of read.  The marker is
-    checked once per process and path; a known ``schema`` spares the read
-    its inference job."""
+    The data goes to a folder of its own; a one-row marker naming it is added
+    only after the write job has committed.  A run that died half-way leaves no
+    marker, and applications that build the same table at once write apart:
+    whichever marker sorts first is the table for all.  The marker is read
+    once per process; a known ``schema`` spares the read its inference job."""
     if path not in _COMPLETE:
         with _BUILD_LOCK:                    # queries run from several threads build once
             if path not in _COMPLETE:
-                marker = f"{path}__complete"
-                try:
-                    spark.read.parquet(marker).count()
-                except Exception:  # absent or unfinished: (re)build
-                    build().write.mode("overwrite").parquet(path)
-                    spark.range(1).write.mode("overwrite").parquet(marker)
-                _COMPLETE.add(path)
-    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+                folder = _complete(spark, path)
+                if folder is None:
+                    mine = f"{path}/data-{uuid.uuid4().hex[:12]}"
+                    build().write.parquet(mine)
+                    spark.createDataFrame([(mine,)], "folder string").write.mode("append").parquet(f"{path}/complete")
+                    folder = _complete(spark, path)
+                _COMPLETE[path] = folder
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(_COMPLETE[path])

@@ -55,3 +55,21 @@ def merge_sessions_before_shuffle(spark) -> None:
     then ships one partial row per partition instead of all its events.  Set
     before the query first starts."""
     spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+
+
+def last_watermark(query) -> str:
+    """Watermark of a finished query's last micro-batch (ISO text, UTC)."""
+    return query.lastProgress["eventTime"]["watermark"]
+
+
+def open_windows(events: DataFrame, watermark: str, gap: str = "30 minutes") -> DataFrame:
+    """The windows a finished run leaves open: ``events`` (all that the stream
+    read, as a batch) of the sessions active within ``gap`` of the watermark or
+    after it, rolled up like the stream does, less the windows it has closed.
+    The other sessions are left out before the roll-up."""
+    mark = F.to_timestamp(F.lit(watermark))
+    at = F.col("event_time").cast("timestamp")
+    active = (clean_events(events).filter(at + F.expr(f"INTERVAL {gap}") > mark)
+              .select("user_session").distinct())
+    rolled = streaming_session_features(events.join(active, "user_session", "left_semi"), gap)
+    return rolled.filter(F.col("window_end").cast("timestamp") > mark)

@@ -1,0 +1,40 @@
+"""The session features written as plain SQL over the clean events, aggregate by
+aggregate: what the one-pass roll-up is tested and timed against."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+_FEATURES = """
+WITH cat AS (
+  SELECT *, substring_index(category_code, '.', 1) AS c FROM {clean} WHERE category_code IS NOT NULL
+), per_category AS (
+  SELECT user_session, c, count(*) AS n FROM cat GROUP BY user_session, c
+), ranked AS (
+  SELECT user_session, c, row_number() OVER (PARTITION BY user_session ORDER BY n DESC, c) AS r,
+         count(*) OVER (PARTITION BY user_session) AS categories FROM per_category
+), totals AS (
+  SELECT user_session, sum(CASE event_type WHEN 'view' THEN 1 ELSE 0 END) AS num_views,
+         sum(CASE event_type WHEN 'cart' THEN 1 ELSE 0 END) AS num_cart_adds,
+         sum(CASE event_type WHEN 'purchase' THEN 1 ELSE 0 END) AS num_purchases,
+         min(event_time) AS session_start, max(event_time) AS session_end, avg(price) AS avg_price
+  FROM cat GROUP BY user_session
+)
+SELECT t.*, timestampdiff(SECOND, date_trunc('SECOND', session_start), date_trunc('SECOND', session_end))
+         AS session_duration, r.c AS main_category, r.categories AS unique_categories
+FROM totals t JOIN ranked r ON r.user_session = t.user_session AND r.r = 1
+"""
+
+_BOUGHT = """
+SELECT user_session, c AS label_category FROM (
+  SELECT user_session, substring_index(category_code, '.', 1) AS c, row_number() OVER (
+    PARTITION BY user_session
+    ORDER BY event_time ASC NULLS LAST, substring_index(category_code, '.', 1)) AS r
+  FROM {clean} WHERE category_code IS NOT NULL AND event_type = 'purchase') WHERE r = 1
+"""
+
+
+def joined_features(clean: DataFrame, include_labels: bool = False) -> DataFrame:
+    spark = clean.sparkSession
+    out = spark.sql(_FEATURES, clean=clean)
+    return out.join(spark.sql(_BOUGHT, clean=clean), "user_session") if include_labels else out

@@ -122,7 +122,9 @@ def test_runs_lookup_by_params_and_metadata(spark, workdir):
     grid = {"lr": [(100, 0.01, 0.5)], "nb": [(0.5, "multinomial")]}
     runs = models.grid_search(spark, "intent", grid, tr, te, f"{workdir}/runs", f"{workdir}/m")
     hit = models.runs_with_params(runs, "intent", "lr", (100, 0.01, 0.5)).collect()
-    assert len(hit) == 1 and hit[0]["param_map"]["regParam"] == 0.01     # typed, not int-cast
+    assert len(hit) == 1 and hit[0]["param_map"]["regParam"] == "0.01"     # typed, not int-cast
+    assert models.runs_with_params(runs, "intent", "lr", (100.0, 0.01, 0.5)).count() == 1
+    assert models.runs_with_params(runs, "intent", "lr", (100, 0.01, 0)).count() == 0
     meta = json.loads(hit[0]["model_params"])
     assert meta["maxIter"] == 100 and meta["elasticNetParam"] == 0.5
     nb = models.runs_with_params(runs, "intent", "nb", (0.5, "multinomial")).first()

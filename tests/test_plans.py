@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from basketlens.operators.clean import clean_events
-from basketlens.operators.sessions import session_features, session_features_joined
+from basketlens.operators.sessions import session_features
 from basketlens.plans import tables
 from conftest import SF_SMALL
+from joined_form import joined_features
 
 
 def plan_text(df, mode: str | None = None) -> str:
@@ -28,7 +29,7 @@ def test_rollup_one_shuffle_partial_aggregation_no_joins(spark):
     assert "partial_count" in text                          # map-side combine before the shuffle
     for bad in ("SortMergeJoin", "ShuffledHashJoin", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
-    joined = plan_text(session_features_joined(clean_events(tables.raw_events(spark, SF_SMALL))))
+    joined = plan_text(joined_features(clean_events(tables.raw_events(spark, SF_SMALL))))
     assert joined.count("Exchange hashpartitioning") > 2    # the original shape shuffles more
 
 
@@ -82,7 +83,7 @@ def test_hot_session_same_result(spark):
     skewed = raw.unionByName(hot.select(*raw.columns)).repartition(8)
     clean = clean_events(skewed)
     a = tables.rounded_price(session_features(clean))
-    b = tables.rounded_price(session_features_joined(clean).select(*a.columns))
+    b = tables.rounded_price(joined_features(clean).select(*a.columns))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     row = a.filter("user_session = 'HOT'").first()
     assert row["main_category"] == "toys" and row["unique_categories"] == 3

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from basketlens.operators.clean import categorized_events, clean_events
 from basketlens.operators.sessions import (labeled_sessions, purchase_labels, session_features,
-                                           session_features_joined, session_main_category)
+                                           session_main_category)
 from basketlens.plans import tables
+from joined_form import joined_features
 from conftest import SF_SMALL
 
 
@@ -83,7 +84,7 @@ def test_main_category_window_form(f1_events):
 def test_one_pass_equals_joined_form(spark, include_labels):
     clean = tables.clean(spark, SF_SMALL)
     a = tables.rounded_price(session_features(clean, include_labels))
-    b = tables.rounded_price(session_features_joined(clean, include_labels).select(*a.columns))
+    b = tables.rounded_price(joined_features(clean, include_labels).select(*a.columns))
     assert a.exceptAll(b).count() == 0
     assert b.exceptAll(a).count() == 0
 
@@ -159,13 +160,13 @@ def test_rollup_forms_agree_on_random_events(spark, rows):
     clean = clean_events(spark.createDataFrame(data, RAW_DDL))
     for include_labels in (False, True):
         a = tables.rounded_price(session_features(clean, include_labels))
-        b = tables.rounded_price(session_features_joined(clean, include_labels).select(*a.columns))
+        b = tables.rounded_price(joined_features(clean, include_labels).select(*a.columns))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     plain = tables.rounded_price(labeled_sessions(clean, pre_purchase_only=True))
-    saved = S.HOT_SESSION_ROWS, S.MAX_HOT_SESSIONS
-    S.HOT_SESSION_ROWS, S.MAX_HOT_SESSIONS = 2, 4          # > 2 events and > 1/4 of all: hot
+    saved = S.HOT_SESSION_ROWS
+    S.HOT_SESSION_ROWS = 2                                 # > 2 events: hot
     try:
         salted = tables.rounded_price(labeled_sessions(clean, pre_purchase_only=True))
     finally:
-        S.HOT_SESSION_ROWS, S.MAX_HOT_SESSIONS = saved
+        S.HOT_SESSION_ROWS = saved
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
