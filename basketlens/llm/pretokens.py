@@ -13,28 +13,36 @@ import regex
 
 ENDS_IN_SPACE = regex.compile(r"\s\Z")
 
-# entries a worker's memo holds before it starts afresh, and the longest key kept
-MEMO_ENTRIES = 400_000
+# entries of each generation of a worker's memo, and the longest key kept
+MEMO_ENTRIES = 200_000
 MEMO_KEY = 64
 
 
-class ChunkMemo(dict):
-    """chunk text (without its leading space) -> value of ``work(" " + chunk)``,
-    None where the chunk ends in white space. Holds MEMO_ENTRIES at most; what
-    is forgotten is computed again."""
+class Memo(dict):
+    """key -> ``work(key)`` in two generations of MEMO_ENTRIES at most: when the
+    young one is full it becomes the old one, so keys in use stay and the others
+    are forgotten, and computed again if they come back."""
 
     def __init__(self, work):
         super().__init__()
-        self.work = work
-
-    def __missing__(self, chunk):
-        value = None if ends_in_space(chunk) else self.work(" " + chunk)
-        if len(chunk) <= MEMO_KEY:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[chunk] = value
+        self.work, self.old = work, {}
+
+    def __missing__(self, key):
+        value = self.old[key] if key in self.old else self.work(key)
+        if len(key) <= MEMO_KEY:
+            self.keep(key, value)
         return value
 
+    def keep(self, key, value):
+        if len(self) >= MEMO_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def unknown(self, keys: set) -> list:
+        """The keys in neither generation."""
+        return list(keys.difference(self).difference(self.old))
+
 
 def ends_in_space(chunk: str) -> bool:
     return not chunk or ENDS_IN_SPACE.search(chunk) is not None

@@ -14,16 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.merging import merge
-from basketlens.llm.pretokens import MEMO_ENTRIES, MEMO_KEY, rows_of
+from basketlens.llm.pretokens import Memo, rows_of
 
 SPACED = re.compile(" +[^ ]*")
 
 
-class SegmentCounts(dict):
-    """segment (leading spaces included, the first of them dropped) -> tokens."""
+class SegmentCounts:
+    """Tokens of segments (leading spaces included, the first of them dropped)."""
 
     def __init__(self, model: bytes):
-        super().__init__()
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_proto=model)
@@ -34,17 +33,13 @@ class SegmentCounts(dict):
         self.rank = {sp.id_to_piece(i): order[sp.get_score(i)] for i in plain}
         if any("▁" in p.lstrip("▁") for p in self.rank):
             raise ValueError("a piece of this model spans a space: texts can't be cut at spaces")
+        self.memo = Memo(self.segment)
 
-    def __missing__(self, segment):
+    def segment(self, segment: str) -> int:
         # the normalizer puts the leading space back
         parts = merge(list(self.model.normalize(segment)) if segment else ["▁"], self.rank)
         # a symbol that is no piece falls back to its bytes
-        n = sum(1 if p in self.rank else len(p.encode()) for p in parts)
-        if len(segment) <= MEMO_KEY:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[segment] = n
-        return n
+        return sum(1 if p in self.rank else len(p.encode()) for p in parts)
 
     def count(self, text: str) -> int:
         if not text:
@@ -53,7 +48,7 @@ class SegmentCounts(dict):
         segments = text.replace("▁", " ").split(" ")
         if "" in segments:
             segments = [s[1:] for s in SPACED.findall(" " + text)]
-        return sum(map(self.__getitem__, segments))
+        return sum(map(self.memo.__getitem__, segments))
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:

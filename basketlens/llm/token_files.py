@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import delete_at_exit, row_key, stored
-from basketlens.llm.pretokens import ChunkMemo, by_chunk, ends_in_space, rows_of
+from basketlens.llm.pretokens import MEMO_KEY, Memo, by_chunk, ends_in_space, rows_of
 from basketlens.session import scratch_path
 
 # ids in a block of the files (a longer document is a block of its own)
@@ -49,77 +49,92 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+class ChunkEncoder:
+    """Ids of texts by the tokenizers library, each distinct chunk encoded once as
+    long as the memo holds it. One per worker process: later tasks find it again."""
+
+    made: dict = {}
+
+    @classmethod
+    def of(cls, model: str, kind: str) -> ChunkEncoder:
+        key = (hash(model), kind)
+        if key not in cls.made:
+            cls.made.clear()
+            cls.made[key] = cls(model, kind)
+        return cls.made[key]
+
+    def __init__(self, model: str, kind: str):
+        import os
+
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer, self.kind = Tokenizer.from_str(model), kind
+        self.memo = Memo(lambda chunk: None if ends_in_space(chunk) else self.one(" " + chunk))
+
+    def one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def learn(self, texts: list[str]) -> None:
+        """The unknown chunks of some texts, encoded in one call."""
+        new = self.memo.unknown({c for t in texts for c in t.split(" ")[1:-1]})
+        new = [c for c in new if len(c) <= MEMO_KEY and not ends_in_space(c)]
+        for c, e in zip(new, self.tokenizer.encode_batch_fast([" " + c for c in new], add_special_tokens=False)):
+            self.memo.keep(c, np.array(e.ids, self.kind).tobytes())
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        texts = [t or "" for t in texts]
+        self.learn(texts)
+        parts = [by_chunk(t, self.memo, self.one) for t in texts]
+        return [self.one(t) if p is None else b"".join(p) for t, p in zip(texts, parts)]
+
+
 def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """doc_id, ids (binary of little-endian integers), n per row of ``docs``.
+    """doc_id, ids (binary of little-endian integers), wide per row of ``docs``;
+    and per task one more row without doc_id and ids whose ``counts`` holds how
+    often each id occurred in the task.
 
-    Integers have 2 bytes if the vocabulary (and the end id) fit, else 4. The
-    library encodes each distinct chunk of a worker's texts once.
+    Integers have 2 bytes if the vocabulary (and the end id) fit, else 4 (wide).
     """
     from tokenizers import Tokenizer
 
     with open(tokenizer_path, encoding="utf-8") as f:
         model = f.read()
-    wide = max(Tokenizer.from_str(model).get_vocab_size() - 1, end_id) > 0xFFFF
+    most = max(Tokenizer.from_str(model).get_vocab_size() - 1, end_id)
+    wide = most > 0xFFFF
     kind = "<u4" if wide else "<u2"
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    columns = ["doc_id", "ids", "counts"]
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_str(shared.value)
+        encoder = ChunkEncoder.of(shared.value, kind)
         end = np.array([end_id], kind).tobytes()
-
-        def one(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
-
-        memo = ChunkMemo(one)
-
-        def learn(texts):
-            """Unknown chunks of some texts, encoded in one call."""
-            new = list({c for t in texts for c in t.split(" ")[1:-1]}.difference(memo))
-            new = [c for c in new if not ends_in_space(c) and len(c) <= 64]
-            if len(memo) + len(new) > 400_000:
-                memo.clear()
-            for c, e in zip(new, tokenizer.encode_batch_fast([" " + c for c in new], add_special_tokens=False)):
-                memo[c] = np.array(e.ids, kind).tobytes()
-
+        counts = np.zeros(most + 1, np.int64)
         for batch in batches:
-            out, ids = [], []
-            for doc_id, texts in rows_of(batch):
-                texts = [t or "" for t in texts]
-                learn(texts)
-                for t in texts:
-                    parts = by_chunk(t, memo, one)
-                    out.append((one(t) if parts is None else b"".join(parts)) + end)
-                ids += doc_id
-            size = 4 if wide else 2
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(out, pa.binary()),
-                                   pa.array([len(x) // size for x in out], pa.int64())], ["doc_id", "ids", "n"])
+            for ids, texts in rows_of(batch):
+                out = [x + end for x in encoder.encode(texts)]
+                counts += np.bincount(np.frombuffer(b"".join(out), kind), minlength=most + 1)
+                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(out, pa.binary()),
+                                       pa.array([None] * len(out), pa.binary())], columns)
+        yield pa.record_batch([pa.array([None], pa.int64()), pa.array([None], pa.binary()),
+                               pa.array([counts.tobytes()], pa.binary())], columns)
 
     return (docs.select(F.col("doc_id").cast("long"), "text")
-            .mapInArrow(run, "doc_id long, ids binary, n long").withColumn("wide", F.lit(wide)))
+            .mapInArrow(run, "doc_id long, ids binary, counts binary").withColumn("wide", F.lit(wide)))
 
 
 def id_ranks(encoded: DataFrame) -> np.ndarray:
     """rank by id: ids by falling count over all documents, ties to the smaller
-    id; unused ids come last. Counts are summed per task before the shuffle, and
-    a row per id reaches the driver, which the vocabulary bounds."""
+    id; unused ids come last. A row per id that occurs reaches the driver, which
+    the vocabulary bounds."""
     def run(batches):
-        counts = np.zeros(1, np.int64)
         for batch in batches:
-            kind = "<u4" if batch.num_rows and batch.column("wide")[0].as_py() else "<u2"
-            for x in batch.column("ids").to_pylist():
-                c = np.bincount(np.frombuffer(x, kind))
-                if len(c) > len(counts):
-                    c[:len(counts)] += counts
-                    counts = c
-                else:
-                    counts[:len(c)] += c
-        used = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["id", "n"])
-
-    rows = (encoded.select("ids", "wide").mapInArrow(run, "id long, n long")
+            for raw in batch.column("counts").to_pylist():
+                counts = np.frombuffer(raw, np.int64)
+                used = np.flatnonzero(counts)
+                yield pa.record_batch([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["id", "n"])
+
+    rows = (encoded.filter("counts is not null").select("counts").mapInArrow(run, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).collect())
     size = max((r["id"] for r in rows), default=0) + 1
     counts = np.zeros(size, np.int64)
@@ -142,6 +157,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     """
     key = stored(encode_ids(docs, tokenizer_path, end_id), "token-ids")
     ranks = id_ranks(key)
+    key = key.filter("counts is null").select("doc_id", "ids", "wide")
     shared = key.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):
@@ -185,56 +201,61 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     return by_rank
 
 
-def read_token_files(spark: SparkSession, path: str, by_rank: np.ndarray) -> DataFrame:
-    """doc_id, start (ids of all documents before it), ids (array) per document.
-
-    Starts come from the counts alone: sums per part, then per block inside a
-    part, then inside the block.
-    """
+def _located(spark: SparkSession, path: str) -> DataFrame:
+    """The blocks with ``start``, the ids of all documents before them: sums per
+    part, then per block inside a part. The starts are stored first, so that Spark
+    knows their size and need not shuffle the blocks to join them."""
     blocks = spark.read.parquet(path)
     sums = blocks.groupBy("part").agg(F.sum("n").alias("n"))
     parts = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
     inside = Window.partitionBy("part").orderBy("block")
-    starts = (blocks.select("part", "block", "n")
-              .select("part", "block", (F.sum("n").over(inside) - F.col("n")).alias("block_start"))
+    starts = (blocks.select("part", "block", (F.sum("n").over(inside) - F.col("n")).alias("block_start"))
               .join(parts, "part")
               .select("part", "block", (F.col("part_start") + F.col("block_start")).alias("start")))
+    return blocks.join(stored(starts, "block-starts"), ["part", "block"]).select(
+        "doc_ids", "counts", "control", "data", "start")
+
+
+def _decoded(batches, by_rank: np.ndarray):
+    """Per block: doc_ids, bounds of the documents in the block, start, ids."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()}
+            bounds = np.concatenate([[0], np.cumsum(np.array(row["counts"], np.int64))])
+            ids = by_rank[unpack(row["control"], row["data"], int(bounds[-1]))]
+            yield pa.array(row["doc_ids"], pa.int64()), bounds, row["start"], ids
+
+
+def read_token_files(spark: SparkSession, path: str, by_rank: np.ndarray) -> DataFrame:
+    """doc_id, start (ids of all documents before it), ids (array) per document."""
     shared = spark.sparkContext.broadcast(by_rank)
 
     def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()}
-                counts = np.array(row["counts"], np.int64)
-                ids = shared.value[unpack(row["control"], row["data"], int(counts.sum()))]
-                bounds = np.concatenate([[0], np.cumsum(counts)])
-                yield pa.record_batch(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + bounds[:-1], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.uint32()).cast(pa.int64()))],
-                    ["doc_id", "start", "ids"])
+        for doc_ids, bounds, start, ids in _decoded(batches, shared.value):
+            yield pa.record_batch(
+                [doc_ids, pa.array(start + bounds[:-1], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int64)))],
+                ["doc_id", "start", "ids"])
 
-    return (blocks.join(starts, ["part", "block"])
-            .select("doc_ids", "counts", "control", "data", "start")
-            .mapInArrow(run, "doc_id long, start long, ids array<bigint>"))
+    return _located(spark, path).mapInArrow(run, "doc_id long, start long, ids array<bigint>")
 
 
 def token_file_digests(spark: SparkSession, path: str, by_rank: np.ndarray) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of the files' documents."""
-    def run(batches):
-        import zlib
+    """doc_id, start, n_tokens, ids_crc32 of the documents as the files have them."""
+    import zlib
 
-        for batch in batches:
-            ids = batch.column("ids")
-            n, crc = [], []
-            for i in range(batch.num_rows):
-                values = ids[i].values.to_numpy(zero_copy_only=False).astype("<u4")
-                n.append(len(values))
-                crc.append(zlib.crc32(values.tobytes()))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("start"), pa.array(n, pa.int64()),
-                                   pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return (read_token_files(spark, path, by_rank)
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+    shared = spark.sparkContext.broadcast(by_rank)
+
+    def run(batches):
+        for doc_ids, bounds, start, ids in _decoded(batches, shared.value):
+            raw = ids.astype("<u4").tobytes()
+            cuts = (4 * bounds).tolist()
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+            yield pa.record_batch([doc_ids, pa.array(start + bounds[:-1], pa.int64()),
+                                   pa.array(np.diff(bounds), pa.int64()), pa.array(crc, pa.int64())],
+                                  ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return _located(spark, path).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def new_files(spark: SparkSession) -> str:
