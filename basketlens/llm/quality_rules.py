@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import SPACE_CHARS, WORD, stored
+from basketlens.llm.common import SPACE_CHARS, WORD, row_key, stored
 
 # The symbols that count, and the base rule's limits.
 SYMBOLS = "[#*$%&|<>]"
@@ -25,7 +25,8 @@ POSITIONS = (1 << POSITION_BITS) - 1
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): the counts as longs.
+    """One row per row of ``docs`` (doc_id, text, source): its row key r1, r2 and
+    the counts as longs.
 
     n_repeat_words counts the word positions that lie in a 3-word window found
     at least twice. Windows are sorted as (hash prefix, position) longs; equal
@@ -34,10 +35,12 @@ def text_counts(docs: DataFrame) -> DataFrame:
     themselves, so the count is exact for every text.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = docs.select("doc_id", F.col("source").alias("host"), text.alias("t")).withColumn(
+    r1, r2 = row_key("doc_id", "source", "text")
+    words = docs.select(r1.alias("r1"), r2.alias("r2"), "doc_id", F.col("source").alias("host"),
+                        text.alias("t")).withColumn(
         "w", F.expr(f"regexp_extract_all(t, '{WORD}', 0)".replace("\\", "\\\\")))
     base = words.select(
-        "doc_id", "host", "w",
+        "r1", "r2", "doc_id", "host", "w",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.regexp_replace("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -65,7 +68,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
                          k -> z[k].a = z[k - 1].a and z[k].b = z[k - 1].b and z[k].c = z[k - 1].c),
                   k -> struct(z[k].i as p, z[k - 1].i as q)))"""))
     covered = "flatten(transform(pq, x -> array(x.p, x.p + 1, x.p + 2, x.q, x.q + 1, x.q + 2)))"
-    return pairs.select("doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+    return pairs.select("r1", "r2", "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                         F.expr(f"cast(size(array_distinct({covered})) as bigint)").alias("n_repeat_words"),
                         F.size("lines").cast("long").alias("n_lines"))
 
@@ -110,7 +113,7 @@ def host_rates(flags: DataFrame) -> DataFrame:
 
 
 def quality_verdicts(docs: DataFrame, bad_host: float = 0.15) -> DataFrame:
-    """doc_id, the counts, base_failed, host, host_rate, kept per row of ``docs``.
+    """r1, r2, doc_id, the counts, base_failed, host, host_rate, kept per row of ``docs``.
 
     A document goes if it fails the base rule or a severe rule, or a weak rule
     on a host whose shrunk failure rate exceeds ``bad_host``. A document that
@@ -123,5 +126,14 @@ def quality_verdicts(docs: DataFrame, bad_host: float = 0.15) -> DataFrame:
     joined = flags.join(hosts, flags["host"].eqNullSafe(hosts["h"]))
     bad = F.col("severe") | (F.col("weak") & (F.col("host_rate") > bad_host))
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "r1", "r2", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "host", "host_rate", (~F.col("base_failed") & ~bad).alias("kept"))
+
+
+def passing(docs: DataFrame, bad_host: float = 0.15) -> DataFrame:
+    """The rows of ``docs`` that the verdicts keep, with all their columns."""
+    kept = quality_verdicts(docs, bad_host).filter("kept").select(
+        F.col("r1").alias("__r1"), F.col("r2").alias("__r2")).distinct()
+    r1, r2 = row_key("doc_id", "source", "text")
+    return (docs.withColumn("__r1", r1).withColumn("__r2", r2)
+            .join(stored(kept, "passing"), ["__r1", "__r2"], "left_semi").drop("__r1", "__r2"))

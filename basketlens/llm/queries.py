@@ -13,6 +13,7 @@ from basketlens.llm.nearest import nearest
 from basketlens.llm.quality_rules import quality_verdicts
 from basketlens.llm.resharding import reshard_documents, shard_slots
 from basketlens.llm.token_counts import count_tokens
+from basketlens.llm.toxicity import score_toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -47,6 +48,10 @@ def op7_nearest(spark, sf_dir):
     return nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op4_toxicity(spark, sf_dir):
+    return score_toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op6_token_files(spark, sf_dir):
     path = token_files.new_files(spark)
     by_rank = token_files.write_token_files(load(spark, sf_dir, "documents"),
@@ -59,10 +64,15 @@ def op9_token_counts(spark, sf_dir):
 
 
 def op10_bpe_codec(spark, sf_dir):
+    return bpe_digests(load(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs):
+    """Token count and digests of the ids and of the bytes decoded from them."""
     from public_tokenizers import PATTERN
 
     ranks = tokenizer("byte_bpe_50k.tiktoken")
-    encoded = bpe_codec.encode(load(spark, sf_dir, "documents"), ranks, PATTERN)
+    encoded = bpe_codec.encode(docs, ranks, PATTERN)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return bpe_codec.decode(encoded, ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -70,13 +80,14 @@ def op10_bpe_codec(spark, sf_dir):
 
 
 def op5_quality_rules(spark, sf_dir):
-    return quality_verdicts(load(spark, sf_dir, "documents")).drop("host")
+    return quality_verdicts(load(spark, sf_dir, "documents")).drop("r1", "r2", "host")
 
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_reshard": op3_reshard,
+    "op4_toxicity": op4_toxicity,
     "op7_nearest": op7_nearest,
     "op8_line_dedup": op8_line_dedup,
     "op5_quality_rules": op5_quality_rules,
