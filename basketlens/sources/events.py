@@ -33,7 +33,9 @@ def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names]
                           + [T.StructField("corrupt_record", T.StringType())])
     raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt_record").csv(path))
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt_record")
+           .option("columnPruning", False)       # whether a line is a record shows in all its fields
+           .csv(path))
     absent = {c: F.lit(None).cast("string") for c in RAW_EVENT_CSV_SCHEMA.fieldNames() if c not in names}
     return raw.withColumns(absent).select(
         F.monotonically_increasing_id().alias("event_id"),
