@@ -84,3 +84,35 @@ def purchase_uplift(model: PipelineModel, sessions: DataFrame, extra_cart_adds:
     return second.select("user_session", "prob_now",
                          F.col("purchase_prob").alias("prob_more_cart"),
                          (F.col("purchase_prob") - F.col("prob_now")).alias("uplift"))
+
+
+# columns a scenario may set; a missing or null one stays as the session has it
+SCENARIO_COLUMNS = {"num_views": "double", "num_cart_adds": "double", "num_purchases": "double",
+                    "avg_price": "double", "session_duration": "double", "unique_categories": "double",
+                    "main_category": "string"}
+
+
+def scenario_rows(sessions: DataFrame, scenarios: dict[str, dict]) -> DataFrame:
+    """Every session once per named scenario, with the scenario's values for
+    counts, price, duration and category (``scenarios``: name -> column values,
+    a handful given by the caller)."""
+    for name, values in scenarios.items():
+        if unknown := set(values) - set(SCENARIO_COLUMNS):
+            raise ValueError(f"scenario {name}: no such input {sorted(unknown)}")
+    rows = F.array(*[F.struct(F.lit(name).alias("scenario"), *[
+        F.lit(values.get(c)).cast(t).alias(f"set_{c}") for c, t in SCENARIO_COLUMNS.items()])
+        for name, values in scenarios.items()])
+    keep = [c for c in sessions.columns if c not in SCENARIO_COLUMNS]
+    return sessions.withColumn("s", F.explode(rows)).select(
+        *keep, "s.scenario", *[F.coalesce(F.col(f"s.set_{c}"), F.col(c).cast(t)).alias(c)
+                               for c, t in SCENARIO_COLUMNS.items()])
+
+
+def what_if(intent: PipelineModel, category: PipelineModel, sessions: DataFrame,
+            scenarios: dict[str, dict]) -> DataFrame:
+    """Both models on every scenario of every session: the purchase
+    probability and the three likeliest categories (row-local, no shuffle)."""
+    rows = scenario_rows(sessions, scenarios)
+    first = score_intent(intent, rows).select(*rows.columns, "purchase_prob")
+    return score_category(category, first).select(
+        "user_session", "scenario", *SCENARIO_COLUMNS, "purchase_prob", "predicted_category", "top3_categories")

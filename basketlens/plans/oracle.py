@@ -173,6 +173,17 @@ SELECT {_RUN_COLS} FROM runs WHERE task = 'intent' AND model = 'num_views'
     "scored_rows_checked": _BASE + f"""
 SELECT user_session, num_views, num_cart_adds, unique_categories, main_category, label, true AS prob_ok
 FROM labeled WHERE NOT {_HASH_SPLIT}""",
+    "what_if_scenarios": _BASE + f"""
+, sc(scenario, views, cart, price, duration, category) AS (VALUES
+  ('as_is', NULL, NULL, NULL, NULL, NULL), ('more_cart', NULL, 3.0::DOUBLE, NULL, NULL, NULL),
+  ('cheap_and_short', NULL, NULL, 5.0::DOUBLE, 30.0::DOUBLE, NULL),
+  ('other_category', 10.0::DOUBLE, NULL, NULL, NULL, 'unknown'))
+SELECT user_session, scenario, coalesce(views, CAST(num_views AS DOUBLE)) AS num_views,
+       coalesce(cart, CAST(num_cart_adds AS DOUBLE)) AS num_cart_adds,
+       coalesce(price, round(avg_price, 6)) AS avg_price,
+       coalesce(duration, CAST(session_duration AS DOUBLE)) AS session_duration,
+       coalesce(category, main_category) AS main_category, true AS prob_ok, CAST(3 AS INTEGER) AS n_distinct
+FROM labeled, sc WHERE NOT {_HASH_SPLIT}""",
     "top3_checked": _BASE + f"""
 SELECT user_session, label_category, CAST(3 AS INTEGER) AS n_distinct, true AS known
 FROM catsess WHERE NOT {_HASH_SPLIT}""",

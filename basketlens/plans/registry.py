@@ -20,7 +20,7 @@ from basketlens.operators.evaluation import accuracy, feature_auc
 from basketlens.operators.features import (fit_category_labels, fit_intent_features, label_map,
                                            onehot_slots, split_train_test)
 from basketlens.operators.scoring import (decode_predictions, feature_importances,
-                                          purchase_uplift, score_category, score_intent)
+                                          purchase_uplift, score_category, score_intent, what_if)
 from basketlens.operators import funnel as fn
 from basketlens.operators.clean import categorized_events
 from basketlens.operators.sessions import (labeled_sessions, purchase_labels,
@@ -363,6 +363,27 @@ def q_what_if(spark, sf_dir):
     return purchase_uplift(model, test, extra_cart_adds=1)
 
 
+SCENARIOS = {"as_is": {}, "more_cart": {"num_cart_adds": 3.0}, "cheap_and_short": {
+    "avg_price": 5.0, "session_duration": 30.0}, "other_category": {"main_category": "unknown", "num_views": 10.0}}
+
+
+def q_what_if_scenarios(spark, sf_dir):
+    """I9 over counts, price, duration and category, scored by both models."""
+    category, _ = training.best_pipeline(spark, sf_dir, "category")
+    model, test = _intent_test(spark, sf_dir)
+    out = what_if(model, category, tables.rounded_price(test), SCENARIOS)
+    return out.select("user_session", "scenario", "num_views", "num_cart_adds", "avg_price", "session_duration",
+                      "main_category", _in_unit("purchase_prob").alias("prob_ok"),
+                      F.size(F.array_distinct("top3_categories")).alias("n_distinct"))
+
+
+def q_run_metadata(spark, sf_dir):
+    """Each run's classifier parameters, one row per parameter of the grid."""
+    runs = _runs(spark, sf_dir)
+    return runs.select("task", "model", "params", F.explode("param_map").alias("name", "value"),
+                       F.length("model_params").alias("metadata_chars"))
+
+
 # ---------------------------------------------------------------------------
 # Runs computed from the data: the queries over the runs table, with an oracle
 # ---------------------------------------------------------------------------
@@ -542,6 +563,8 @@ QUERIES: dict[str, Query] = {
     "decoded_predictions": q_decoded_predictions,
     "feature_importances": q_feature_importances,
     "what_if": q_what_if,
+    "what_if_scenarios": q_what_if_scenarios,
+    "run_metadata": q_run_metadata,
     "data_runs": q_data_runs,
     "data_best_grid_row": q_data_best_grid_row,
     "data_best_model": q_data_best_model,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketlens.operators import models
 from basketlens.operators.features import fit_category_labels, split_train_test
+from basketlens.operators.sessions import rollup_features, rollup_labeled, session_rollup
 from basketlens.plans import tables
 from basketlens.sources.sinks import dataset_workspace, materialized
 
@@ -22,16 +23,21 @@ def workspace(spark: SparkSession, sf_dir: str) -> str:
     return dataset_workspace(spark, sf_dir)
 
 
+def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session roll-up with both labels, written once: one pass over the events
+    serves both tasks."""
+    return materialized(spark, f"{workspace(spark, sf_dir)}/session_rollup",
+                        lambda: session_rollup(tables.clean(spark, sf_dir)))
+
+
 def intent_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labeled sessions (T3 input), written once."""
-    return materialized(spark, f"{workspace(spark, sf_dir)}/labeled_sessions",
-                        lambda: tables.labeled(spark, sf_dir))
+    """Labeled sessions (T3 input)."""
+    return rollup_labeled(stored_rollup(spark, sf_dir))
 
 
 def category_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions with a purchased category (T4 input), written once."""
-    return materialized(spark, f"{workspace(spark, sf_dir)}/category_sessions",
-                        lambda: tables.features(spark, sf_dir, include_labels=True))
+    """Sessions with a purchased category (T4 input)."""
+    return rollup_features(stored_rollup(spark, sf_dir), include_labels=True)
 
 
 def runs_path(spark: SparkSession, sf_dir: str) -> str:

@@ -8,6 +8,7 @@ to UTC so second-truncating durations never cross a DST jump.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,20 @@ def get_spark(master: str | None = None, app: str = "basketlens",
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the start of a stream, which takes them over; the
+    session gets its own back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def int_setting(spark: SparkSession, key: str, default: int) -> int:
     """A tuning bound a deployer may set per cluster (``--conf key=value``),
     else the engine's default."""

@@ -48,13 +48,11 @@ def streaming_session_features(events: DataFrame, gap: str = "30 minutes",
         "unique_categories")
 
 
-def merge_sessions_before_shuffle(spark) -> None:
-    """Merge the events of one session window inside each partition before the
-    shuffle to the state store (partial aggregation for session windows; off
-    by default in Spark).  A session holding a large share of a micro-batch
-    then ships one partial row per partition instead of all its events.  Set
-    before the query first starts."""
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+# Merge the events of one session window inside each partition before the shuffle
+# to the state store (partial aggregation for session windows; off by default in
+# Spark).  A session holding a large share of a micro-batch then ships one partial
+# row per partition instead of all its events.
+MERGE_BEFORE_SHUFFLE = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
 
 
 def last_watermark(query) -> str:
