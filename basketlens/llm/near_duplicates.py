@@ -238,7 +238,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             sets = [x.tobytes() for texts in _texts(batch.column("text")) for x in shingle_sets(texts)]
             yield batch.drop_columns(["text"]).append_column("shingles", pa.array(sets, pa.binary()))
 
-    texts = source.select("r1", "r2", "text").join(stored(wanted, "wanted"), ["r1", "r2"])
+    # the same shuffle join at every size; Spark splits it where a row repeats often
+    texts = source.select("r1", "r2", "text").join(stored(wanted, "wanted").hint("merge"), ["r1", "r2"])
     full = (texts.select("node", "cluster", "blocks", "text").dropDuplicates(["node"])
             .mapInArrow(with_sets, "node long, cluster long, blocks int, shingles binary"))
     verified = stored(_block_pairs(full, F.col("blocks"))
