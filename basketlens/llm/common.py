@@ -34,6 +34,21 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
 
 
+def give_back() -> None:
+    """Return this Python worker's freed memory to the system: Spark keeps idle
+    workers, and what they hold counts against the executor."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def row_key(*cols: str) -> list[Column]:
     """128 bits that stand for the values of ``cols`` (nulls included)."""
     parts = [F.struct(*(F.col(c) for c in cols))] + [F.col(c).isNull() for c in cols]

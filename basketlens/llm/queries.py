@@ -11,6 +11,7 @@ from basketlens.llm.mixing import mix
 from basketlens.llm.near_duplicates import near_duplicates
 from basketlens.llm.nearest import nearest
 from basketlens.llm.quality_rules import quality_verdicts
+from basketlens.llm.oracle import ORACLE_SQL  # noqa: F401  (read with QUERIES)
 from basketlens.llm.resharding import reshard_documents, shard_slots
 from basketlens.llm.token_counts import count_tokens
 from basketlens.llm.toxicity import score_toxicity
@@ -72,15 +73,15 @@ def bpe_digests(docs):
     from public_tokenizers import PATTERN
 
     ranks = tokenizer("byte_bpe_50k.tiktoken")
-    encoded = bpe_codec.encode(docs, ranks, PATTERN)
+    encoded = bpe_codec.encode(docs, ranks, PATTERN, decoded=True)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return bpe_codec.decode(encoded, ranks).select(
+    return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op5_quality_rules(spark, sf_dir):
-    return quality_verdicts(load(spark, sf_dir, "documents")).drop("r1", "r2", "host")
+    return quality_verdicts(load(spark, sf_dir, "documents")).drop("r1", "r2", "host", "host_rate")
 
 
 QUERIES = {
@@ -95,5 +96,3 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
 }
-
-ORACLE_SQL = {}

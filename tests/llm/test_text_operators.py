@@ -129,10 +129,13 @@ def test_bpe_round_trip(docs):
     import tiktoken
     path = P.path("byte_bpe_50k.tiktoken")
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe_codec.read_ranks(path), special_tokens={})
-    encoded = bpe_codec.encode(docs, path, P.PATTERN, block_bytes=3000, parts=5)
+    encoded = bpe_codec.encode(docs, path, P.PATTERN, block_size=3000, parts=5)
     rows = bpe_codec.decode(encoded, path).collect()
     assert Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in rows) == Counter(
         (i, tuple(enc.encode_ordinary(t or "")), (t or "").encode()) for i, t in pairs(docs))
+    at_once = bpe_codec.encode(docs, path, P.PATTERN, block_size=3000, parts=5, decoded=True)
+    assert Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in at_once.collect()) == Counter(
+        (r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in rows)
 
 
 def test_rank_file(tmp_path):
