@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 from basketlens.llm.common import delete_at_exit, row_key
 from basketlens.session import scratch_path
 
-# rows of one file, about, and so of one rank window
+# rows and bytes of one file, about, and so of one rank window
 PART_ROWS = 50_000
+PART_BYTES = 64 << 20
 
 
 class Block(NamedTuple):
@@ -136,16 +137,24 @@ def write_layout(docs: DataFrame, path: str, n_shards: int) -> T.StructType:
     the layout's columns.
 
     A document's first shard is its id's checksum; its size class is twice the
-    binary logarithm of its bytes. ``part`` cuts every block into files of about
-    PART_ROWS rows by a hash of the row.
+    binary logarithm of its bytes. ``part`` cuts every block by a hash of the row
+    into files of PART_ROWS rows and PART_BYTES at most, about: the totals per
+    size class (some 60 at most) tell how many parts a class needs.
     """
-    parts = max(1, docs.count() // (n_shards * PART_ROWS))
     r1, r2 = row_key("doc_id", "text")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    size_class = F.floor(2 * F.log2(size)).cast("int")
+    totals = docs.select(size_class.alias("c"), size.alias("size")).groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect()
+    parts = F.lit(1)
+    for r in totals:
+        need = max(r["n"] // (n_shards * PART_ROWS), r["bytes"] // (n_shards * PART_BYTES))
+        if need > 1:
+            parts = F.when(F.col("size_class") == r["c"], F.lit(need)).otherwise(parts)
     shard = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n_shards))
     rows = (docs.withColumn("size", size).withColumn("shard", shard.cast("int"))
-            .withColumn("size_class", F.floor(2 * F.log2("size")).cast("int"))
-            .withColumn("r1", r1).withColumn("r2", r2).withColumn("part", F.pmod("r2", F.lit(parts)).cast("int")))
+            .withColumn("size_class", size_class)
+            .withColumn("r1", r1).withColumn("r2", r2).withColumn("part", F.pmod("r2", parts).cast("int")))
     (rows.repartition("shard", "size_class", "part")
      .write.partitionBy("shard", "size_class").option("compression", "zstd").parquet(path))
     return rows.schema

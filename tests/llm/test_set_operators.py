@@ -156,7 +156,8 @@ def test_flow_moves_the_fewest_bytes():
 
 
 def test_reshard(edge_docs, spark, monkeypatch):
-    monkeypatch.setattr(resharding, "PART_ROWS", 5)
+    monkeypatch.setattr(resharding, "PART_ROWS", 1)
+    monkeypatch.setattr(resharding, "PART_BYTES", 4000)
     for docs in (edge_docs, spark.read.parquet(f"{SF_SMALL}/documents.parquet")):
         for old, new in ((12, 16), (5, 3), (4, 4)):
             layout = resharding.reshard_documents(docs, old, new)
