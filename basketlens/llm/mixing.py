@@ -22,7 +22,7 @@ BLOCK_WORDS = 64
 # a source with fewer words than LEAST_BLOCKS whole blocks is cut finer
 LEAST_BLOCKS = 64
 # documents of a source whose offsets one task sums, about
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 4_000
 
 
 def capped_targets(sizes: list[int], weights: list[float], share: float, most: float) -> list[float]:
