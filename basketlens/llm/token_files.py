@@ -7,15 +7,20 @@ numbers. A rank takes 1 to 4 data bytes; its length goes into a separate control
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import delete_at_exit, row_key, stored
-from basketlens.llm.pretokens import MEMO_KEY, Memo, by_chunk, ends_in_space, rows_of
+from basketlens.llm.common import delete_at_exit, give_back, stored
+from basketlens.llm.pretokens import by_chunk, ends_in_space, rows_of
 from basketlens.session import scratch_path
 
+# characters of texts whose distinct chunks are encoded together
+BLOCK_CHARS = 16 << 20
+
 # ids in a block of the files (a longer document is a block of its own)
 BLOCK_IDS = 1 << 20
 
@@ -50,8 +55,8 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class ChunkEncoder:
-    """Ids of texts by the tokenizers library, each distinct chunk encoded once as
-    long as the memo holds it. One per worker process: later tasks find it again."""
+    """Ids of texts by the tokenizers library, which sees each distinct chunk of a
+    block of texts once. One per worker process: later tasks find it again."""
 
     made: dict = {}
 
@@ -69,26 +74,38 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.kind = Tokenizer.from_str(model), kind
-        self.memo = Memo(lambda chunk: None if ends_in_space(chunk) else self.one(" " + chunk))
+        self.tokenizer, self.code = Tokenizer.from_str(model), "H" if kind == "<u2" else "I"
 
     def one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def learn(self, texts: list[str]) -> None:
-        """The unknown chunks of some texts, encoded in one call."""
-        new = self.memo.unknown({c for t in texts for c in t.split(" ")[1:-1]})
-        new = [c for c in new if len(c) <= MEMO_KEY and not ends_in_space(c)]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast([" " + c for c in new], add_special_tokens=False)):
-            self.memo.keep(c, np.array(e.ids, self.kind).tobytes())
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
-        self.learn(texts)
-        parts = [by_chunk(t, self.memo, self.one) for t in texts]
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        chunks = {c for t in texts for c in t.split(" ")[1:-1]}
+        ids: dict = {c: None for c in chunks if ends_in_space(c)}
+        chunks = list(chunks.difference(ids))
+        for at in range(0, len(chunks), 1000):
+            some = chunks[at:at + 1000]
+            for c, e in zip(some, self.tokenizer.encode_batch_fast([" " + c for c in some], add_special_tokens=False)):
+                ids[c] = array(self.code, e.ids).tobytes()
+        parts = [by_chunk(t, ids, self.one) for t in texts]
         return [self.one(t) if p is None else b"".join(p) for t, p in zip(texts, parts)]
 
 
+def _blocks(batches, size: int = BLOCK_CHARS):
+    """doc_ids and texts (null: empty), about ``size`` characters at a time."""
+    ids, texts, n = [], [], 0
+    for batch in batches:
+        for doc_id, text in rows_of(batch):
+            ids += doc_id
+            texts += [t or "" for t in text]
+            n += sum(map(len, texts[len(texts) - len(text):]))
+            if n >= size:
+                yield ids, texts
+                ids, texts, n = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """doc_id, ids (binary of little-endian integers), wide per row of ``docs``;
     and per task one more row without doc_id and ids whose ``counts`` holds how
@@ -110,14 +127,14 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         encoder = ChunkEncoder.of(shared.value, kind)
         end = np.array([end_id], kind).tobytes()
         counts = np.zeros(most + 1, np.int64)
-        for batch in batches:
-            for ids, texts in rows_of(batch):
-                out = [x + end for x in encoder.encode(texts)]
-                counts += np.bincount(np.frombuffer(b"".join(out), kind), minlength=most + 1)
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(out, pa.binary()),
-                                       pa.array([None] * len(out), pa.binary())], columns)
+        for ids, texts in _blocks(batches):
+            out = [x + end for x in encoder.encode(texts)]
+            counts += np.bincount(np.frombuffer(b"".join(out), kind), minlength=most + 1)
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(out, pa.binary()),
+                                   pa.array([None] * len(out), pa.binary())], columns)
         yield pa.record_batch([pa.array([None], pa.int64()), pa.array([None], pa.binary()),
                                pa.array([counts.tobytes()], pa.binary())], columns)
+        give_back()
 
     return (docs.select(F.col("doc_id").cast("long"), "text")
             .mapInArrow(run, "doc_id long, ids binary, counts binary").withColumn("wide", F.lit(wide)))
@@ -189,9 +206,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
         if ids:
             yield row()
 
-    # a second key spreads a doc_id that a large share of the rows has
-    ordered = (key.withColumn("tie", F.xxhash64("ids"))
-               .orderBy(F.col("doc_id").asc_nulls_first(), "tie", "ids").drop("tie"))
+    # a second key spreads a doc_id that a large share of the rows has; the ids
+    # themselves are no range key, as Spark samples those on the driver
+    first = F.col("doc_id").asc_nulls_first()
+    ordered = (key.withColumn("tie", F.xxhash64("ids")).repartitionByRange(first, "tie")
+               .sortWithinPartitions(first, "tie", "ids").drop("tie"))
     (ordered.select("doc_id", "ids", "wide")
      .mapInArrow(run, "part int, block int, doc_ids array<bigint>, counts array<bigint>, n long, "
                       "control binary, data binary")
