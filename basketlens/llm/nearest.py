@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from basketlens.llm.common import stored
 
-# Each query is held against a sample of this many vectors first. The k-th product
-# there is a floor: what the buckets hold below it can't be among the k nearest. The
-# sample's own k nearest are found vectors too, so a query never has fewer than k.
+# Each query is held against a sample of this many vectors first: the sample's k
+# nearest are found vectors too, so a query never has fewer than k.
 SAMPLE = 512
 # vectors of a bucket that one task ranks; larger buckets are cut into chunks
 CHUNK = 4096
@@ -163,9 +162,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probe: i
             low = near[:, k] - 1e-9 * np.abs(near[:, k]) if near.shape[1] > k else np.full(len(q), -np.inf)
             batch = batch.append_column("low", pa.array(low))
             for t in range(tables):
-                for b in probes(unit, t, hashes, probe).T:
+                for p, b in enumerate(probes(unit, t, hashes, probe).T):
                     yield (batch.append_column("t", pa.array(np.full(len(unit), t, np.int32)))
-                           .append_column("b", pa.array(np.ascontiguousarray(b))))
+                           .append_column("b", pa.array(np.ascontiguousarray(b)))
+                           .append_column("p", pa.array(np.full(len(unit), p, np.int32))))
 
     def from_sample(batches):
         for batch in batches:
@@ -205,13 +205,27 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probe: i
     # equal query vectors are searched once
     distinct = queries.dropDuplicates(["h1", "h2"]).select("h1", "h2", "v")
     asked = (distinct
-             .mapInArrow(probing, "h1 long, h2 long, v array<double>, low double, t int, b long")
+             .mapInArrow(probing, "h1 long, h2 long, v array<double>, low double, t int, b long, p int")
              .join(large, ["t", "b"], "left")
              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1))).drop("chunks"))
-    found = (asked.groupBy("t", "b", "chunk").cogroup(placed.groupBy("t", "b", "chunk"))
-             .applyInArrow(ranked, FOUND)).unionByName(distinct.mapInArrow(from_sample, FOUND))
-    found = found.dropDuplicates(["q1", "q2", "h1", "h2"]).select(
-        "q1", "q2", "score", F.explode("ids").alias("vec_id"))
+
+    def search(wanted: DataFrame) -> DataFrame:
+        return (wanted.drop("p").groupBy("t", "b", "chunk").cogroup(placed.groupBy("t", "b", "chunk"))
+                .applyInArrow(ranked, FOUND))
+
+    # each table's best bucket first: the (k + 1)-th product found there is a floor, and
+    # the other buckets need give nothing below it, so what a query finds doesn't grow
+    # with the number of vectors
+    once = ["q1", "q2", "h1", "h2"]
+    sampled = distinct.mapInArrow(from_sample, FOUND)
+    near = search(asked.filter("p = 0")).unionByName(sampled).dropDuplicates(once)
+    at = F.row_number().over(Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "h1", "h2"))
+    floor = near.select("q1", "q2", "score", at.alias("n")).filter(F.col("n") <= k + 1).filter(
+        F.col("n") == k + 1).select(F.col("q1").alias("h1"), F.col("q2").alias("h2"), F.col("score").alias("floor"))
+    floor = stored(floor, "floors")
+    low = F.greatest("low", F.col("floor") - 1e-9 * F.abs("floor"))
+    found = search(asked.join(floor, ["h1", "h2"], "left").withColumn("low", low).drop("floor")).unionByName(sampled)
+    found = found.dropDuplicates(once).select("q1", "q2", "score", F.explode("ids").alias("vec_id"))
     best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1)
     # each query without itself; rows sharing a vec_id share the query's answer
