@@ -167,16 +167,27 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most: f
         F.expr("if(first is null, null, size(filter(quota_to, q -> q <= first)))").cast("int").alias("shard"))
 
 
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+def mixed_documents(docs: DataFrame, even: bool = False, **settings) -> DataFrame:
     """The rows of ``docs`` that the mix takes, whole, with all their columns: a
-    document comes as often as its taken words fill it, rounded (0 to ``most``)."""
+    document comes as often as its taken words fill it (0 to ``most`` times).
+
+    A part of a document counts by rounding, or with ``even`` as one more copy
+    with a chance of that part, by a seeded hash: a source then has its taken
+    words on average whatever the length of its documents. Rounding gives long
+    documents, whose parts are all near target / source_size, the same count.
+    """
     r1, r2 = row_key("doc_id", "source", "text")
     order = Window.partitionBy("__r1", "__r2").orderBy(F.lit(1))
-    copies = (mix(docs, **settings)
-              .withColumn("__copies", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).cast("int"))
-              .select(F.col("r1").alias("__r1"), F.col("r2").alias("__r2"), "__copies"))
+    copies = (mix(docs, **settings).filter("size > 0")
+              .select(F.col("r1").alias("__r1"), F.col("r2").alias("__r2"), "size", "taken"))
     copies = copies.withColumn("__nth", F.row_number().over(
-        Window.partitionBy("__r1", "__r2").orderBy(F.col("__copies").desc())))
+        Window.partitionBy("__r1", "__r2").orderBy(F.col("taken").desc())))
+    if even:
+        draw = F.xxhash64(F.lit("copies"), F.lit(settings.get("seed", 17)), "__r1", "__r2", "__nth")
+        count = F.expr("taken div size") + F.when(F.pmod(draw, F.col("size")) < F.expr("taken % size"), 1).otherwise(0)
+    else:
+        count = F.round(F.col("taken") / F.col("size"))
+    copies = copies.select("__r1", "__r2", "__nth", count.cast("int").alias("__copies"))
     rows = docs.withColumn("__r1", r1).withColumn("__r2", r2).withColumn("__nth", F.row_number().over(order))
     return (rows.join(copies, ["__r1", "__r2", "__nth"]).filter("__copies > 0")
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))

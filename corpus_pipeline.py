@@ -40,8 +40,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as the mix takes them (not at all, once, twice)."""
-    return mixed_documents(docs)
+    """Documents come as often as the mix takes them (not at all, once, twice); a
+    part of a document is its chance of one more copy."""
+    return mixed_documents(docs, even=True)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

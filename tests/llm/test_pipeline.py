@@ -93,3 +93,17 @@ def test_pipeline_without_documents(spark, no_docs):  # noqa: F811
 def test_run_is_all_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
+
+
+def test_mixture_meets_targets_with_documents_of_any_length(spark):
+    rows = [(1000 * j + i, " ".join(["word"] * (30 if i % 2 else 900)), s)
+            for j, (s, n) in enumerate((("a", 500), ("b", 800), ("c", 800))) for i in range(n)]
+    had = [sum(len(t.split()) for _, t, x in rows if x == s) for s in "abc"]
+    out = corpus_pipeline.mixture(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "")
+    taken = Counter()
+    for r in out.collect():
+        taken[r.source, len(r.text.split())] += len(r.text.split())
+    for s, n, t in zip("abc", had, capped_targets(had, [5, 2, 1], 1.5, 2)):
+        assert abs(taken[s, 30] + taken[s, 900] - t) <= 0.06 * t
+        # long and short documents alike
+        assert abs(taken[s, 900] / (n * 30 / 31) - taken[s, 30] / (n / 31)) <= 0.15
