@@ -1,10 +1,10 @@
 """Cross-polytope nearest neighbours (operator 7).
 
-Vectors are brought to the unit sphere (largest inner product = smallest angle
-after one more coordinate), turned by fast Hadamard pseudo-rotations and hashed
-to the nearest signed axis. Several tables, each probed at the query's best axes
-or tuples of axes, collect candidates; those are ranked by the inner product of
-the original vectors in double precision.
+Vectors are brought to the unit sphere, turned by fast Hadamard pseudo-rotations
+and hashed to the nearest signed axis. Several tables, each probed at the query's
+best axes or tuples of axes, collect candidates; those are ranked by the inner
+product of the original vectors in double precision. A longer vector is near at a
+wider angle, so vectors are kept by norm range, the longer ones probed deeper.
 """
 
 from __future__ import annotations
@@ -43,19 +43,29 @@ def rotated(unit: np.ndarray, seed: int) -> np.ndarray:
     return unit
 
 
-def lifted(vectors: np.ndarray, largest: float, query: bool) -> np.ndarray:
-    """Unit vectors, padded to a power of two, whose angles order the inner
-    products: data by the largest norm plus the missing length as one more
-    coordinate, queries by their own norm."""
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors, padded to a power of two."""
     n, d = vectors.shape
     out = np.zeros((n, 1 << int(d).bit_length()))
-    norm = np.sqrt((vectors * vectors).sum(axis=1))
-    if query:
-        out[:, :d] = vectors / norm[:, None]
-    else:
-        out[:, :d] = vectors / largest
-        out[:, d] = np.sqrt(np.maximum(0.0, 1.0 - (norm / largest) ** 2))
-    return out
+    out[:, :d] = vectors / np.abs(vectors).max(axis=1)[:, None]
+    return out / np.sqrt((out * out).sum(axis=1))[:, None]
+
+
+def probe_counts(sizes: dict[int, int], probe: int, total: int) -> dict[int, int]:
+    """Buckets to probe by norm range (in half powers of two, with its number of
+    vectors): ``probe`` up to a reference, above it more as the norm grows, 0 for
+    ranges that are searched whole. The reference is the lowest range, from the
+    median up, that at most doubles the share of vectors that a table gives."""
+    def counts(at):
+        return {g: probe if g <= at else min(total, round(probe * 2 ** min(64, (g - at) / 2))) for g in sizes}
+
+    order, half, passed = sorted(sizes), sum(sizes.values()) / 2, 0
+    for at in order:
+        passed += sizes[at]
+        found = counts(at)
+        if passed >= half and sum(n * found[g] for g, n in sizes.items()) <= 4 * half * probe:
+            break
+    return {g: 0 if c > probe and (c >= total or sizes[g] <= max(c, CHUNK)) else c for g, c in found.items()}
 
 
 def buckets(unit: np.ndarray, table: int, hashes: int) -> np.ndarray:
@@ -129,43 +139,68 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probe: i
     Nearness is the largest inner product, ties to the smaller vec_id. Recall
     depends on ``tables`` and ``probe``; a table has (2 d')^``hashes`` buckets, d'
     the padded length: raise ``hashes`` by one when buckets hold more than some
-    10,000 vectors. Vectors null, zero, or with null or non-finite components
+    10,000 vectors. Vectors much longer than most are probed deeper, the few longest
+    searched whole. Vectors null, zero, or with null or non-finite components
     take no part, nor rows without vec_id. Rows that repeat a vec_id are vectors
     of their own; a query leaves out all rows with its id.
     """
     spark = vectors.sparkSession
     usable = usable_vectors(vectors)
     # own ids are left out in the end, so one id more than k is kept
-    data = stored(_distinct(usable, k + 1), "vectors")
-    first = data.select(F.max(F.expr("aggregate(v, 0D, (s, x) -> s + x * x)"))).first()[0]
-    if first is None:
+    norm = F.log2(F.expr("aggregate(v, 0D, (s, x) -> s + x * x)"))
+    norm = F.floor(F.least(F.greatest(F.coalesce(norm, F.lit(-3000.0)), F.lit(-3000.0)), F.lit(3000.0)) + 0.5)
+    data = stored(_distinct(usable, k + 1).withColumn("g", norm.cast("int")), "vectors")
+    # one row per norm range: at most 6,000, whatever the input
+    sizes = {r["g"]: r["count"] for r in data.groupBy("g").count().collect()}
+    if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    largest = float(np.sqrt(first))
+    width = 2 * (1 << int(data.select(F.size("v")).first()[0]).bit_length())
+    counts = probe_counts(sizes, probe, width ** hashes)
+    # ranges probed alike share their tables, numbered on; table -1 is searched whole
+    tiers = {c: i for i, c in enumerate(sorted(set(counts.values()) - {0}))}
+    deepest = max(tiers, default=0)
     queries = stored(usable.filter(is_query).select(
         "vec_id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit("second"), "v").alias("h2")), "queries")
-    sample = data.orderBy("h1", "h2").limit(SAMPLE).toArrow()
+    sample = data.orderBy("h1", "h2").limit(SAMPLE).drop("g").toArrow()
     shared = spark.sparkContext.broadcast(sample)
 
     def hashed(batches):
         for batch in batches:
-            unit = lifted(_matrix(batch.column("v")), largest, False)
-            for t in range(tables):
-                yield (batch.append_column("t", pa.array(np.full(len(unit), t, np.int32)))
-                       .append_column("b", pa.array(buckets(unit, t, hashes))))
+            count = np.array([counts[g] for g in batch.column("g").to_pylist()], np.int64)
+            batch = batch.drop_columns(["g"])
+            for c in np.unique(count):
+                part = batch.filter(pa.array(count == c))
+                unit = directions(_matrix(part.column("v")))
+                for t in range(tables) if c else [-1]:
+                    b = buckets(unit, t, hashes) if c else np.zeros(len(unit), np.int64)
+                    at = t + tables * tiers[c] if c else -1
+                    yield (part.append_column("t", pa.array(np.full(len(unit), at, np.int32)))
+                           .append_column("b", pa.array(b)))
 
     def probing(batches):
         for batch in batches:
             q = _matrix(batch.column("v"))
-            unit = lifted(q, largest, True)
             # the (k + 1)-th of the sample, as the query itself may be in it
             near = -np.sort(-(q @ _matrix(shared.value["v"]).T), axis=1)
             low = near[:, k] - 1e-9 * np.abs(near[:, k]) if near.shape[1] > k else np.full(len(q), -np.inf)
             batch = batch.append_column("low", pa.array(low))
-            for t in range(tables):
-                for p, b in enumerate(probes(unit, t, hashes, probe).T):
-                    yield (batch.append_column("t", pa.array(np.full(len(unit), t, np.int32)))
-                           .append_column("b", pa.array(np.ascontiguousarray(b)))
-                           .append_column("p", pa.array(np.full(len(unit), p, np.int32))))
+
+            def asking(rows, t, b, p):
+                return (rows.append_column("t", pa.array(np.full(rows.num_rows, t, np.int32)))
+                        .append_column("b", pa.array(np.ascontiguousarray(b)))
+                        .append_column("p", pa.array(np.full(rows.num_rows, p, np.int32))))
+
+            if 0 in counts.values():
+                yield asking(batch, -1, np.zeros(len(q), np.int64), 0)
+            # tuples of axes are laid out as rows x tuples
+            step = max(1, 8_000_000 // (deepest * width)) if hashes > 1 and deepest else max(1, len(q))
+            for at in range(0, len(q) if deepest else 0, step):
+                rows, unit = batch.slice(at, step), directions(q[at:at + step])
+                for t in range(tables):
+                    for p, b in enumerate(probes(unit, t, hashes, deepest).T):
+                        for c, tier in tiers.items():
+                            if p < c:
+                                yield asking(rows, t + tables * tier, b, p)
 
     def from_sample(batches):
         for batch in batches:
@@ -194,7 +229,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probe: i
                          "score": pa.array(cat["score"].astype(np.float64)),
                          "h1": x["h1"].take(at), "h2": x["h2"].take(at), "ids": x["ids"].take(at)})
 
-    placed = data.select("h1", "h2", "v", "ids").mapInArrow(
+    placed = data.select("h1", "h2", "v", "ids", "g").mapInArrow(
         hashed, "h1 long, h2 long, v array<double>, ids array<bigint>, t int, b long")
     # chunks of the buckets that hold more than one task should rank
     large = (placed.groupBy("t", "b").count().filter(F.col("count") > CHUNK)

@@ -259,6 +259,36 @@ def test_two_hashes_per_table_find_close_vectors(spark):
     assert hits / len(out) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["one", "uneven"])
+def test_nearest_of_uneven_norms(spark, monkeypatch, norms):
+    from basketlens.llm import nearest as nn
+    monkeypatch.setattr(nn, "SAMPLE", 30)
+    monkeypatch.setattr(nn, "CHUNK", 64)
+    rng = np.random.RandomState(3)
+    x = rng.normal(size=(3000, 64))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    if norms == "one":
+        x[7] *= 10
+    else:
+        x *= np.exp(rng.normal(0, 0.5, len(x)))[:, None]
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nearest(table, F.col("vec_id") % 60 == 0, k=20).groupBy("query_id").agg(F.collect_set("vec_id").alias("v"))
+    hits = 0
+    for r in got.collect():
+        s = x @ x[r.query_id]
+        s[r.query_id] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & set(r.v))
+    print("recall", norms, hits / 1000)
+    assert hits / 1000 >= 0.93
+
+
+def test_probes_by_norm_stay_within_twice_the_work():
+    from basketlens.llm.nearest import probe_counts
+    assert probe_counts({0: 20_000}, 20, 256) == {0: 20}
+    assert probe_counts({0: 20_000, 7: 1}, 20, 256) == {0: 20, 7: 0}
+    assert probe_counts({0: 60_000, 20: 40_000}, 20, 256) == {0: 20, 20: 20}
+
+
 def test_hadamard_is_orthogonal():
     h = hadamard(np.eye(16))
     assert np.allclose(h @ h.T, np.eye(16)) and set(np.round(np.abs(h).ravel(), 6)) == {0.25}
