@@ -33,8 +33,8 @@ _LETTER = re.compile(r"[^\W\d_]")
 _ODD = re.compile(r"[^\w]|\d|_")
 _RUN = re.compile(r"(.)\1\1+")
 # a written word with more characters than this after its stretches are shortened
-# is scored as it stands
-LONGEST = 40
+# is decoded in stretches of so many characters that overlap by half
+LONGEST = 120
 
 
 def letter_class(c: str) -> int:
@@ -79,10 +79,12 @@ def suspicious(word: str) -> bool:
 
 def restore(word: str, model: CharacterModel, spaced: bool = False) -> list[str]:
     """The likeliest intended words of a lower-case written word (without spaces);
-    more than one only with ``spaced``, which allows word breaks."""
+    more than one only with ``spaced``, which allows word breaks, as it is for
+    the stretches of a word above LONGEST."""
     short = _RUN.sub(r"\1\1", word)
     if len(short) > LONGEST:
-        return [word]
+        return [x for at in range(0, len(short) - LONGEST // 2, LONGEST // 2)
+                for x in restore(short[at:at + LONGEST], model, spaced=True)]
     table = model.table
     # state: classes of the last two letters -> (score, letters so far)
     states = {(0, 0): (0.0, "")}

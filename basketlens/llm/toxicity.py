@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.deobfuscation import CLASSES, CharacterModel, byte_classes, edge_free, restore, suspicious
+from basketlens.llm.deobfuscation import CLASSES, LOOKALIKES, CharacterModel, byte_classes, edge_free, restore, suspicious
 from basketlens.llm.pretokens import Memo, rows_of
 
 # The classifier is fitted on this many labelled documents at most, about (by a
@@ -27,6 +27,11 @@ N_FEATURES = 4
 SURE = 2.5
 
 _SINGLES = re.compile("1{3,}")
+# where a written word may hold several: at any sign, or at signs that stand for no letter
+_SIGNS = re.compile(r"[\W_]+")
+_GAPS = re.compile("(?:(?![" + re.escape("".join(LOOKALIKES)) + r"])[\W_])+")
+# pieces that a spaced word is joined from, at most
+PIECES = 6
 
 
 def held_out(doc_id: Column) -> Column:
@@ -63,8 +68,15 @@ class Restorer:
         self.model = model
 
     def words(self, written: str) -> tuple[str, ...]:
+        """The word restored as a whole, and its parts between signs."""
         word = edge_free(written)
-        return tuple(restore(word, self.model)) if suspicious(word) else (word,) if word else ()
+        if not suspicious(word):
+            return (word,) if word else ()
+        out = dict.fromkeys(restore(word, self.model))
+        for part in {*_SIGNS.split(word), *map(edge_free, _GAPS.split(word))} - {word}:
+            if len(part) >= 3:
+                out.update(dict.fromkeys(restore(part, self.model) if suspicious(part) else [part]))
+        return tuple(out)
 
     def spaced(self, written: list[str]) -> list[str]:
         """Words spelled with spaces: runs of three or more single characters."""
@@ -108,18 +120,36 @@ class Scorer:
 
     def __init__(self, model: CharacterModel, weights: dict[str, float]):
         self.restorer, self.weights = Restorer(model), weights
+        # starts of weighted words, to join words written in pieces
+        self.whole = {w for w in weights if len(w) >= 4 and w.isalpha()}
+        self.starts = {w[:n] for w in self.whole for n in range(1, len(w))}
         self.memo = Memo(lambda written: [(w, x) for w in self.restorer.words(written) if (x := self.weight(w)) > 0])
 
     def weight(self, word: str) -> float:
         return max((self.weights.get(f, 0.0) for f in features_of(word)), default=0.0)
 
+    def joined(self, written: list[str]) -> list[str]:
+        """Weighted words written in two or more pieces ('id iot'); a word that
+        has a weight by itself is no piece."""
+        out, first = [], self.starts.intersection(written)
+        for at in [i for i, w in enumerate(written) if w in first] if first else ():
+            word = written[at]
+            for piece in written[at + 1:at + PIECES] if word not in self.whole else ():
+                last = edge_free(piece)
+                if word + last in self.whole and last not in self.whole:
+                    out.append(word + last)
+                word += piece
+                if word not in self.starts:
+                    break
+        return out
+
     def features(self, text: str | None) -> list[float]:
         """Best, second and third weight of different restored words, and one."""
         written = (text or "").lower().split()
         hits = {}
         for found in filter(None, map(self.memo.__getitem__, written)):
             hits.update(found)
-        for r in self.restorer.spaced(written):
+        for r in self.restorer.spaced(written) + self.joined(written):
             if (x := self.weight(r)) > 0:
                 hits[r] = x
         return [*(sorted(hits.values(), reverse=True)[:3] + [0.0] * 3)[:3], 1.0]

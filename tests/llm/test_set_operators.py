@@ -214,6 +214,16 @@ def test_toxicity(spark, edge_docs):
     assert score_toxicity(docs.filter("false"), marks).count() == 0
 
 
+def test_toxic_words_between_signs_in_pieces_and_long(spark):
+    from basketlens.llm.toxicity import Scorer
+    docs = spark.createDataFrame([("the stupid idiot and the loser came to the pathetic house " * 20,)], "text string")
+    scorer = Scorer(CharacterModel(character_counts(docs)), {"idiot": 3.0, "stupid": 2.0, "pathetic": 1.0})
+    for text, want in (("bla.idiot", 3), ("you/idiot", 3), ("you-idiot now", 3), ("well...idiot", 3), ("you!idiot", 3),
+                       ("bla.1d10t", 3), ("id iot.", 3), ("st u pid", 2), ("-.~^_".join("pathetic"), 1),
+                       ("x" + "ab-" * 100 + "idiot", 3), ("the house came", 0)):
+        assert scorer.features(text)[0] == want, text
+
+
 def vectors(spark):
     rng = np.random.RandomState(9)
     x = rng.normal(size=(300, 12)).astype(np.float32)
