@@ -74,4 +74,80 @@ SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS componen
 FROM w LEFT JOIN sizes USING (doc_id) JOIN reach USING (doc_id) GROUP BY w.doc_id
 """
 
-ORACLE_SQL = {"op2_near_duplicates": NEAR_DUPLICATES, "op5_quality_rules": QUALITY, "op8_line_dedup": LINES}
+# one table entry per byte value, by the rule of the reversed polynomial 0xEDB88320
+SPELLING = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_concat([b], range(8)),
+                          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t
+  FROM range(256) r(b)),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+        FROM documents)
+  GROUP BY ALL HAVING length(run) >= 6),
+bytes AS (
+  SELECT doc_id, run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END)) AS b
+  FROM runs),
+hashes AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], b),
+    lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]))) AS h
+  FROM bytes, crc_table),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT)
+                      || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashes)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+masked AS (SELECT word, n, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS m FROM places),
+shorter AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS m FROM places),
+near AS (
+  SELECT a.word, b.word AS near, b.n FROM masked a JOIN masked b ON a.m = b.m AND a.word <> b.word
+  UNION ALL SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.m = w.word
+  UNION ALL SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.m = w.word),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS r,
+                  count(*) OVER (PARTITION BY word) AS n_near FROM near),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 5 * w.n THEN near END AS form,
+         CASE WHEN r.n >= 5 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE r = 1) r ON r.word = w.word),
+ways(word, place, form) AS (
+  SELECT word, word, form FROM forms
+  UNION ALL SELECT y.word, y.form, f.form FROM ways y JOIN forms f ON f.word = y.form)
+SELECT f.word, f.form, place AS root, n, n_near, form_n FROM forms f JOIN ways y ON y.word = f.word AND y.form IS NULL
+"""
+
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source FROM documents),
+found AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM found GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (coalesce(total, 0) + 2 * v) AS p,
+         1 + 1000000000::HUGEINT * (lang_n + 2) // (lang_total + 2 * v) AS q
+  FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN totals USING (lang, source)
+       LEFT JOIN counts USING (lang, source, term)),
+gaps AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+        UNION ALL SELECT lang, source, 'term', item, value FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE_SQL = {"op2_near_duplicates": NEAR_DUPLICATES, "op5_quality_rules": QUALITY, "op8_line_dedup": LINES,
+              "op12_spelling_variants": SPELLING, "op13_source_divergence": DIVERGENCE}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import bpe_codec, token_files
 from basketlens.llm.common import load
+from basketlens.llm.divergence import source_divergence
 from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.mixing import mix
 from basketlens.llm.near_duplicates import near_duplicates
@@ -13,6 +14,8 @@ from basketlens.llm.nearest import nearest
 from basketlens.llm.quality_rules import quality_verdicts
 from basketlens.llm.oracle import ORACLE_SQL  # noqa: F401  (read with QUERIES)
 from basketlens.llm.resharding import reshard_documents, shard_slots
+from basketlens.llm.spelling import spelling_variants
+from basketlens.llm.subword_classifier import score_quality
 from basketlens.llm.token_counts import count_tokens
 from basketlens.llm.toxicity import score_toxicity
 
@@ -84,6 +87,18 @@ def op5_quality_rules(spark, sf_dir):
     return quality_verdicts(load(spark, sf_dir, "documents")).drop("r1", "r2", "host", "host_rate")
 
 
+def op11_quality_classifier(spark, sf_dir):
+    return score_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(load(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_near_duplicates": op2_near_duplicates,
@@ -95,4 +110,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
