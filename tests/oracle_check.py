@@ -34,6 +34,8 @@ def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "NULL"
     if isinstance(v, float):
+        if v.is_integer() and abs(v) < 2 ** 53:
+            return str(int(v))  # whole numbers of a column with nulls come as doubles
         return repr(round(v, 9))
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).isoformat()
