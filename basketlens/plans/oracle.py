@@ -390,3 +390,31 @@ SELECT b.user_session, b.num_views, b.num_cart_adds, b.num_purchases, b.session_
        coalesce(l.label, 0) AS label
 FROM pbase b JOIN ptop t USING (user_session) LEFT JOIN labels l USING (user_session)""",
 }
+
+# the same rows by another way of storing or joining them
+ORACLE_SQL["pre_purchase_bucketed"] = ORACLE_SQL["pre_purchase_sessions"]
+ORACLE_SQL["labeled_join"] = ORACLE_SQL["labeled_sessions"]
+ORACLE_SQL["incremental_features"] = ORACLE_SQL["session_features"]
+
+_IDS = "user_id IS NOT NULL AND user_session IS NOT NULL"
+_KEPT = f"{_IDS} AND event_type IN ('view', 'cart', 'purchase')"
+
+ORACLE_SQL["incremental_folds"] = _BASE + f"""
+SELECT CAST(event_id % 3 + 1 AS INTEGER) AS fold, count(*) AS n_raw, count(*) FILTER (WHERE {_KEPT}) AS n_clean
+FROM raw GROUP BY 1"""
+
+
+def _drop_reasons(corrupt: str) -> str:
+    reasons = {
+        "raw": f"count(*) + {corrupt}", "corrupt": f"0 * count(*) + {corrupt}", "no_user": "count(*) FILTER (WHERE user_id IS NULL)",
+        "no_session": "count(*) FILTER (WHERE user_id IS NOT NULL AND user_session IS NULL)",
+        "other_type": f"count(*) FILTER (WHERE {_IDS} AND event_type NOT IN ('view', 'cart', 'purchase'))",
+        "kept": f"count(*) FILTER (WHERE {_KEPT})",
+        "kept_uncategorized": f"count(*) FILTER (WHERE {_KEPT} AND category_code IS NULL)",
+        "kept_untimed": f"count(*) FILTER (WHERE {_KEPT} AND event_time IS NULL)",
+        **{f"kept_{t}": f"count(*) FILTER (WHERE {_IDS} AND event_type = '{t}')" for t in ("view", "cart", "purchase")}}
+    return _BASE + " UNION ALL ".join(f"SELECT '{r}' AS reason, {n} AS n FROM raw" for r, n in reasons.items())
+
+
+ORACLE_SQL["drop_reasons"] = _drop_reasons("0")
+ORACLE_SQL["csv_drop_reasons"] = _drop_reasons("(SELECT count(*) FROM events WHERE event_id % 100 = 0)")

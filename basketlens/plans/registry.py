@@ -24,8 +24,8 @@ from basketlens.operators.scoring import (decode_predictions, feature_importance
 from basketlens.operators import funnel as fn
 from basketlens.operators.clean import categorized_events
 from basketlens.operators.sessions import (labeled_sessions, purchase_labels,
-                                           session_category_counts, session_main_category)
-from basketlens.plans import data_runs, streams, tables, training
+                                           rollup_features, session_category_counts, session_main_category)
+from basketlens.plans import data_runs, growth, session_tables, streams, tables, training
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
 from basketlens.session import scratch_path
 from basketlens.schemas import RAW_EVENT_CSV_SCHEMA
@@ -114,6 +114,38 @@ def q_pre_purchase_sessions(spark, sf_dir):
     return tables.rounded_price(labeled_sessions(tables.clean(spark, sf_dir), pre_purchase_only=True))
 
 
+def q_pre_purchase_bucketed(spark, sf_dir):
+    """The same rows from stored, bucketed tables: a join without an exchange."""
+    return tables.rounded_price(session_tables.pre_purchase_sessions(spark, sf_dir))
+
+
+def q_labeled_join(spark, sf_dir):
+    """E4 as the original joins it, over two bucketed tables."""
+    return tables.rounded_price(session_tables.labeled_join(spark, sf_dir))
+
+
+def q_incremental_features(spark, sf_dir):
+    """C1-C7, D1 from partials of three folds of the events, the later files alone
+    read by the later folds."""
+    return tables.rounded_price(rollup_features(growth.grown_rollup(spark, sf_dir).rollup()))
+
+
+def q_incremental_folds(spark, sf_dir):
+    """What each fold read: rows of the files that were new, rows kept of them."""
+    return growth.grown_rollup(spark, sf_dir).folded().groupBy("fold").agg(
+        F.sum("n_raw").alias("n_raw"), F.sum("n_clean").alias("n_clean"))
+
+
+def q_drop_reasons(spark, sf_dir):
+    """Rows dropped and kept by reason, counted by the pass that cleans."""
+    return growth.clean_and_count(spark, tables.raw_events(spark, sf_dir))
+
+
+def q_csv_drop_reasons(spark, sf_dir):
+    """A1 with B2-B4: the same over CSV that holds lines which are no records."""
+    return growth.clean_and_count(spark, load_events_csv(spark, growth.csv_with_foreign_lines(spark, sf_dir)))
+
+
 def q_category_sessions(spark, sf_dir):
     return tables.rounded_price(tables.features(spark, sf_dir, include_labels=True))
 
@@ -519,6 +551,12 @@ QUERIES: dict[str, Query] = {
     "write_read_features": q_write_read_features,
     "labeled_sessions": q_labeled_sessions,
     "pre_purchase_sessions": q_pre_purchase_sessions,
+    "pre_purchase_bucketed": q_pre_purchase_bucketed,
+    "labeled_join": q_labeled_join,
+    "incremental_features": q_incremental_features,
+    "incremental_folds": q_incremental_folds,
+    "drop_reasons": q_drop_reasons,
+    "csv_drop_reasons": q_csv_drop_reasons,
     "category_sessions": q_category_sessions,
     "funnel": q_funnel,
     "funnel_dropoff": q_funnel_dropoff,

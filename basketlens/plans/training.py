@@ -25,9 +25,10 @@ def workspace(spark: SparkSession, sf_dir: str) -> str:
 
 def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The session roll-up with both labels, written once: one pass over the events
-    serves both tasks."""
+    serves both tasks.  Bucketed by session: a join or aggregate on the session
+    reads it without an exchange."""
     return materialized(spark, f"{workspace(spark, sf_dir)}/session_rollup",
-                        lambda: session_rollup(tables.clean(spark, sf_dir)))
+                        lambda: session_rollup(tables.clean(spark, sf_dir)), bucketed_by=("user_session",))
 
 
 def intent_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.schemas import SCORED_COLUMNS
 from basketlens.session import scratch_root
+from basketlens.sources.bucketed import BucketedTable, session_buckets
 
 # bump when a derived table's layout changes (stale tables are never reused)
-LAYOUT_VERSION = "v5"
+LAYOUT_VERSION = "v6"
 
 
 def _norm(p: str) -> str:
@@ -111,22 +112,33 @@ def _complete(spark: SparkSession, path: str) -> str | None:
     return row["folder"] if row else None
 
 
-def materialized(spark: SparkSession, path: str, build, schema=None) -> DataFrame:
+def materialized(spark: SparkSession, path: str, build, schema=None, bucketed_by: tuple[str, ...] = ()) -> DataFrame:
     """Read a written table, writing it first when absent or incomplete.
 
     The data goes to a folder of its own; a one-row marker naming it is added
     only after the write job has committed.  A run that died half-way leaves no
     marker, and applications that build the same table at once write apart:
     whichever marker sorts first is the table for all.  The marker is read
-    once per process; a known ``schema`` spares the read its inference job."""
+    once per process; a known ``schema`` spares the read its inference job.
+    With ``bucketed_by`` the table is bucketed and sorted by those columns; the
+    folder's name keeps its number of buckets."""
     if path not in _COMPLETE:
         with _BUILD_LOCK:                    # queries run from several threads build once
             if path not in _COMPLETE:
                 folder = _complete(spark, path)
                 if folder is None:
-                    mine = f"{path}/data-{uuid.uuid4().hex[:12]}"
-                    build().write.parquet(mine)
+                    buckets = session_buckets(spark) if bucketed_by else 0
+                    mine = f"{path}/data-{uuid.uuid4().hex[:12]}-{buckets}b"
+                    data = build()
+                    if bucketed_by:
+                        BucketedTable(mine, data.schema, bucketed_by, buckets).append(data)
+                    else:
+                        data.write.parquet(mine)
                     spark.createDataFrame([(mine,)], "folder string").write.mode("append").parquet(f"{path}/complete")
                     folder = _complete(spark, path)
                 _COMPLETE[path] = folder
-    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(_COMPLETE[path])
+    folder = _COMPLETE[path]
+    if bucketed_by:
+        buckets = int(folder.rsplit("-", 1)[1][:-1])
+        return BucketedTable(folder, schema or build().schema, bucketed_by, buckets).read(spark)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(folder)
