@@ -43,9 +43,20 @@ def observed_clean(raw: DataFrame) -> tuple[DataFrame, Observation]:
     return clean_events(observed.filter(~corrupt)), counted
 
 
+REASONS = ["raw", "corrupt", "no_user", "no_session", "other_type", "kept", "kept_uncategorized", "kept_untimed",
+           *(f"kept_{t}" for t in EVENT_TYPES)]
+
+
+def observed_counts(counted: Observation, names: list[str]) -> dict[str, int]:
+    """The counts of a finished pass.  Spark skips a pass that it finds to be empty,
+    and its counts with it: those are 0."""
+    row = counted._jo.getRow()
+    return counted.get if row.length() else dict.fromkeys(names, 0)
+
+
 def drop_reasons(counted: Observation) -> list[tuple[str, int]]:
     """(reason, rows) of a finished pass, by name."""
-    return sorted(counted.get.items())
+    return sorted(observed_counts(counted, REASONS).items())
 
 
 def with_category_main(events: DataFrame) -> DataFrame:

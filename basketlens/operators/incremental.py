@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from basketlens.functions.columns import whole_seconds_between
-from basketlens.operators.clean import clean_events
+from basketlens.operators.clean import clean_events, observed_counts
 from basketlens.operators.sessions import session_category_counts
 from basketlens.schemas import UNKNOWN_CATEGORY
 from basketlens.sources.bucketed import BucketedTable, session_buckets
@@ -30,7 +30,7 @@ from basketlens.sources.commits import CommitLog, list_files
 
 MAX_VERSIONS = 8
 
-PARTIAL_SCHEMA = StructType.fromDDL(
+PARTIAL_SCHEMA = (
     "user_session string, category_main string, n_events bigint, n_views bigint, n_cart_adds bigint, "
     "n_purchases bigint, t_first timestamp_ntz, t_last timestamp_ntz, price_sum double, price_count bigint, "
     "t_first_purchase timestamp_ntz, version string")
@@ -84,8 +84,8 @@ class IncrementalRollup:
     def __init__(self, spark: SparkSession, path: str, read: Callable[[list[str]], DataFrame]):
         self.spark, self.read_events = spark, read
         self.log = CommitLog(spark, f"{path}/manifest", MANIFEST_SCHEMA)
-        self.partials = BucketedTable(f"{path}/partials", PARTIAL_SCHEMA, ("user_session",), session_buckets(spark),
-                                      partition="version")
+        self.partials = BucketedTable(f"{path}/partials", StructType.fromDDL(PARTIAL_SCHEMA), ("user_session",),
+                                      session_buckets(spark), partition="version")
 
     def fold(self, source: str) -> int:
         """Fold the event files below ``source`` that aren't folded in yet; the
@@ -107,7 +107,7 @@ class IncrementalRollup:
                           F.count_if(F.col("user_id").isNotNull() & F.col("user_session").isNotNull()
                                      & F.col("event_type").isin("view", "cart", "purchase")).alias("n_clean"))
         self.partials.append(session_category_counts(clean_events(raw)).withColumn("version", F.lit(version)))
-        n = counted.get
+        n = observed_counts(counted, ["n_raw", "n_clean"])
         # counts are the fold's, on its first file's row
         rows += [(f.path, f.bytes, f.modified, fold, version, n["n_raw"] if i == 0 else 0, n["n_clean"] if i == 0 else 0)
                  for i, f in enumerate(new)]

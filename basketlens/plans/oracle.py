@@ -418,3 +418,57 @@ def _drop_reasons(corrupt: str) -> str:
 
 ORACLE_SQL["drop_reasons"] = _drop_reasons("0")
 ORACLE_SQL["csv_drop_reasons"] = _drop_reasons("(SELECT count(*) FROM events WHERE event_id % 100 = 0)")
+
+_PR_FEATURES = ["num_views", "num_cart_adds", "unique_categories", "session_duration", "avg_price"]
+
+# points of the precision-recall curve of ``long`` (one ``by`` column), joined by straight lines
+_PR_AREA = """
+ps AS (SELECT {by}, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) AS n FROM long GROUP BY ALL),
+cum AS (SELECT *, sum(pos) OVER w AS tp, sum(n) OVER w AS seen, sum(pos) OVER (PARTITION BY {by}) AS positives
+        FROM ps WINDOW w AS (PARTITION BY {by} ORDER BY score DESC)),
+area AS (
+  SELECT {by}, CAST(max(positives) AS BIGINT) AS positives, CAST(sum(n) - max(positives) AS BIGINT) AS negatives,
+         round(sum(pos::DOUBLE / positives * (tp::DOUBLE / seen
+           + CASE WHEN seen > n THEN (tp - pos)::DOUBLE / (seen - n) ELSE tp::DOUBLE / seen END) / 2), 9) AS pr_area
+  FROM cum GROUP BY {by})"""
+
+ORACLE_SQL["feature_pr_area"] = _BASE + ", long AS (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, round(CAST({f} AS DOUBLE), 6) AS score, label FROM labeled" for f in _PR_FEATURES
+) + ")," + _PR_AREA.format(by="feature") + " SELECT * FROM area"
+
+_NUMERIC = ["num_views", "num_cart_adds", "session_duration", "avg_price", "unique_categories"]
+
+_BAYES = _BASE + f"""
+, rounded AS (SELECT * REPLACE (round(avg_price, 6) AS avg_price) FROM labeled),
+train AS (SELECT * FROM rounded WHERE {_HASH_SPLIT}),
+sums AS (
+  SELECT label, slot, sum(total) AS total FROM (
+    SELECT label, '(prior)' AS slot, 1.0::DOUBLE AS total FROM train
+    {" ".join(f"UNION ALL SELECT label, '{c}', CAST({c} AS DOUBLE) FROM train" for c in _NUMERIC)}
+    UNION ALL SELECT label, 'main_category=' || main_category, 1.0 FROM train
+    UNION ALL SELECT unnest([0, 1]), 'main_category=' || main_category, 0.0 FROM rounded) GROUP BY ALL),
+grid(smoothing) AS (VALUES (1.0::DOUBLE), (0.5::DOUBLE), (2.0::DOUBLE)),
+masses AS (SELECT label, sum(total) AS mass, count(*) AS slots FROM sums WHERE slot <> '(prior)' GROUP BY label),
+priors AS (SELECT sum(total) AS n FROM sums WHERE slot = '(prior)'),
+params AS (
+  SELECT smoothing, label, slot, CASE WHEN slot = '(prior)' THEN ln(total + smoothing) - ln(n + 2 * smoothing)
+           ELSE ln(total + smoothing) - ln(mass + slots * smoothing) END AS log_prob
+  FROM sums JOIN masses USING (label), priors, grid)"""
+
+ORACLE_SQL["nb_parameters"] = _BAYES + """
+SELECT smoothing, label, slot, round(log_prob, 9) AS log_prob FROM params"""
+
+ORACLE_SQL["nb_relational"] = _BAYES + f""",
+one AS (SELECT smoothing, {", ".join(f"max(log_prob) FILTER (WHERE slot = '{c}') AS p_{c}" for c in _NUMERIC)},
+               max(log_prob) FILTER (WHERE slot = '(prior)') AS prior FROM params WHERE label = 1 GROUP BY smoothing),
+long AS (
+  SELECT smoothing, t.label, prior + {" + ".join(f"{c} * p_{c}" for c in _NUMERIC)} + log_prob AS score
+  FROM rounded t, one JOIN params c USING (smoothing)
+  WHERE NOT {_HASH_SPLIT} AND c.label = 1 AND c.slot = 'main_category=' || main_category),{_PR_AREA.format(by="smoothing")},
+below AS (SELECT *, coalesce(sum(n - pos) OVER (PARTITION BY smoothing ORDER BY score
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM ps),
+roc AS (SELECT smoothing, sum(pos::DOUBLE * (neg_below + (n - pos) * 0.5::DOUBLE))
+               / (sum(pos)::DOUBLE * sum(n - pos)::DOUBLE) AS auc FROM below GROUP BY smoothing)
+SELECT smoothing || '_multinomial' AS params, round(auc, 9) AS auc, pr_area AS pr_auc
+FROM roc JOIN area USING (smoothing)"""
+ORACLE_SQL["nb_fitted"] = ORACLE_SQL["nb_relational"]

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
 from basketlens.functions.columns import in_train_split
-from basketlens.operators import models
-from basketlens.operators.evaluation import accuracy, feature_auc
+from basketlens.operators import bayes, models
+from basketlens.operators.evaluation import accuracy, feature_auc, feature_pr_area
 from basketlens.operators.features import (fit_category_labels, fit_intent_features, label_map,
                                            onehot_slots, split_train_test)
 from basketlens.operators.scoring import (decode_predictions, feature_importances,
@@ -255,6 +255,43 @@ def q_feature_auc(spark, sf_dir):
                        ["num_views", "num_cart_adds", "unique_categories"])
 
 
+PR_FEATURES = ["num_views", "num_cart_adds", "unique_categories", "session_duration", "avg_price"]
+
+
+def q_feature_pr_area(spark, sf_dir):
+    """J8 on its own: every feature as a score, continuous ones included."""
+    return feature_pr_area(tables.rounded_price(tables.labeled(spark, sf_dir)), PR_FEATURES)
+
+
+def _smoothings():
+    return [p[0] for p in models.INTENT_GRIDS["nb"]]
+
+
+def q_nb_parameters(spark, sf_dir):
+    """The parameters of the naive Bayes grid from one grouped aggregate."""
+    sessions = tables.rounded_price(training.intent_sessions(spark, sf_dir))
+    train, _ = split_train_test(sessions)
+    out = bayes.parameters(bayes.slot_sums(sessions, train), _smoothings())
+    return out.withColumn("log_prob", F.round("log_prob", 9))
+
+
+def q_nb_relational(spark, sf_dir):
+    """The naive Bayes grid fitted, scored and evaluated by aggregates."""
+    sessions = tables.rounded_price(training.intent_sessions(spark, sf_dir))
+    runs = bayes.naive_bayes_runs(sessions, *split_train_test(sessions), _smoothings())
+    return _nb_rows(runs.withColumn("params", F.concat("smoothing", F.lit("_multinomial"))))
+
+
+def q_nb_fitted(spark, sf_dir):
+    """The same grid as MLlib fitted it."""
+    runs = training.train(spark, sf_dir, "intent", {"nb": models.INTENT_GRIDS["nb"]})
+    return _nb_rows(runs.filter(F.col("model") == "nb"))
+
+
+def _nb_rows(runs):
+    return runs.select("params", F.round("auc", 9).alias("auc"), F.round("pr_auc", 9).alias("pr_auc"))
+
+
 RUN_COLUMNS = ["task", "model", "params", "auc", "pr_auc", "accuracy"]
 
 
@@ -576,6 +613,10 @@ QUERIES: dict[str, Query] = {
     "onehot": q_onehot,
     "assembled": q_assembled,
     "feature_auc": q_feature_auc,
+    "feature_pr_area": q_feature_pr_area,
+    "nb_parameters": q_nb_parameters,
+    "nb_relational": q_nb_relational,
+    "nb_fitted": q_nb_fitted,
     "train_rf": _train_one("rf"),
     "train_lr": _train_one("lr"),
     "train_dt": _train_one("dt"),
