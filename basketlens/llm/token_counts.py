@@ -20,7 +20,17 @@ SPACED = re.compile(" +[^ ]*")
 
 
 class SegmentCounts:
-    """Tokens of segments (leading spaces included, the first of them dropped)."""
+    """Tokens of segments (leading spaces included, the first of them dropped). One
+    per worker process: later tasks find its memo again."""
+
+    made: dict = {}
+
+    @classmethod
+    def of(cls, model: bytes) -> SegmentCounts:
+        if model not in cls.made:
+            cls.made.clear()
+            cls.made[model] = cls(model)
+        return cls.made[model]
 
     def __init__(self, model: bytes):
         from sentencepiece import SentencePieceProcessor
@@ -45,7 +55,8 @@ class SegmentCounts:
         if not text:
             return 0
         # the model writes spaces as this sign, so in a text it is one
-        segments = text.replace("▁", " ").split(" ")
+        text = text.replace("▁", " ")
+        segments = text.split(" ")
         if "" in segments:
             segments = [s[1:] for s in SPACED.findall(" " + text)]
         return sum(map(self.memo.__getitem__, segments))
@@ -63,7 +74,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
         model = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def count(batches):
-        counts = SegmentCounts(model.value)
+        counts = SegmentCounts.of(model.value)
         for batch in batches:
             ids, sizes, n = [], [], []
             for doc_id, text, n_bytes in rows_of(batch):
