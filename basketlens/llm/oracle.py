@@ -23,20 +23,22 @@ counts AS (
   FROM w LEFT JOIN covered USING (doc_id)),
 flags AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         n_symbols > 0.25 * greatest(n_words, 1) OR (n_dup_lines > 0.6 * greatest(n_lines, 1) AND n_dup_lines >= 5)
+         n_symbols > greatest(n_words, 1) OR (n_dup_lines > 0.6 * greatest(n_lines, 1) AND n_dup_lines >= 5)
            OR word_chars > 25 * greatest(n_words, 1) AS severe,
          n_symbols > 0.1 * greatest(n_words, 1) OR (n_dup_lines > 0.4 * greatest(n_lines, 1) AND n_dup_lines >= 5)
            OR word_chars > 15 * greatest(n_words, 1) AS weak
   FROM counts),
 hosts AS (
   SELECT source, count(*)::DOUBLE AS n,
-         count(*) FILTER (WHERE base_failed OR severe OR weak)::DOUBLE AS f FROM flags GROUP BY source),
+         count(*) FILTER (WHERE severe OR weak)::DOUBLE AS f FROM flags GROUP BY source),
 moments AS (SELECT m, greatest(s - m * m, 0) AS v
             FROM (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS s FROM hosts)),
 prior AS (SELECT m, CASE WHEN v > 1e-12 THEN greatest(m * (1 - m) / v - 1, 1) ELSE 1e9 END AS strength FROM moments),
-rates AS (SELECT source, (f + strength * m) / (n + strength) AS rate FROM hosts, prior)
+rates AS (SELECT source, (f + strength * m) / (n + strength)
+                 > m + greatest(0.5 * sqrt(m * (1 - m) / (strength + 1)), 1e-6) AS bad FROM hosts, prior)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (severe OR (weak AND rate > 0.15)) AS kept
+       NOT base_failed AND NOT severe AND weak AS by_host,
+       NOT base_failed AND NOT (severe OR (weak AND bad)) AS kept
 FROM flags f JOIN rates r ON f.source IS NOT DISTINCT FROM r.source
 """
 

@@ -75,14 +75,15 @@ def text_counts(docs: DataFrame) -> DataFrame:
 
 def rule_flags(counts: DataFrame) -> DataFrame:
     """base_failed, and what the method's own rules say: ``severe`` alone
-    rejects, ``weak`` rejects only on a host with a bad verdict."""
+    rejects, ``weak`` (tables, lists and code have such counts as well) rejects
+    only on a host with a bad verdict."""
     words = F.greatest(F.col("n_words"), F.lit(1))
     lines = F.greatest(F.col("n_lines"), F.lit(1))
     mean_length = F.col("word_chars") / words
     return (counts
             .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-            .withColumn("severe", (F.col("n_symbols") > 0.25 * words)
+            .withColumn("severe", (F.col("n_symbols") > words)
                         | ((F.col("n_dup_lines") > 0.6 * lines) & (F.col("n_dup_lines") >= 5))
                         | (mean_length > 25))
             .withColumn("weak", (F.col("n_symbols") > 0.1 * words)
@@ -90,17 +91,20 @@ def rule_flags(counts: DataFrame) -> DataFrame:
                         | (mean_length > 15)))
 
 
-def host_rates(flags: DataFrame) -> DataFrame:
-    """host, n_docs, n_failed, rate (shrunk): one row per host, null included.
+def host_rates(flags: DataFrame, deviations: float) -> DataFrame:
+    """host, n_docs, n_failed, rate (shrunk), limit: one row per host, null included.
 
-    Beta(a, b) prior by moments over the hosts' raw rates: m and v are their
-    document-weighted mean and variance, a + b = m(1 - m)/v - 1. With one host,
-    or hosts that all agree, the variance is 0: the prior then outweighs any
-    host and every rate is m.
+    Failures are those of the weak and severe rules; base failures reject by
+    themselves and say nothing about the host's pages that stay. Beta(a, b) prior
+    by moments over the hosts' raw rates: m and v are their document-weighted mean
+    and variance, a + b = m(1 - m)/v - 1. ``limit`` is the prior's mean plus
+    ``deviations`` of its standard deviation: a host is bad if its shrunk rate is
+    above it. With one host, or hosts that all agree, the variance is 0, every rate
+    is m and no host is bad.
     """
     hosts = stored(flags.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.sum((F.col("base_failed") | F.col("severe") | F.col("weak")).cast("long")).alias("n_failed")),
+        F.sum((F.col("severe") | F.col("weak")).cast("long")).alias("n_failed")),
         "hosts")
     raw = F.col("n_failed") / F.col("n_docs")
     m, second = hosts.agg(F.sum("n_failed") / F.sum("n_docs"),
@@ -108,31 +112,36 @@ def host_rates(flags: DataFrame) -> DataFrame:
     m = m or 0.0
     v = max((second or 0.0) - m * m, 0.0)
     strength = max(m * (1 - m) / v - 1, 1.0) if v > 1e-12 else 1e9
+    limit = m + max(deviations * (m * (1 - m) / (strength + 1)) ** 0.5, 1e-6)
     return hosts.withColumn("rate", (F.col("n_failed") + F.lit(strength * m))
-                            / (F.col("n_docs") + F.lit(strength)))
+                            / (F.col("n_docs") + F.lit(strength))).withColumn("limit", F.lit(limit))
 
 
-def quality_verdicts(docs: DataFrame, bad_host: float = 0.15) -> DataFrame:
-    """r1, r2, doc_id, the counts, base_failed, host, host_rate, kept per row of ``docs``.
+def quality_verdicts(docs: DataFrame, deviations: float = 0.5) -> DataFrame:
+    """r1, r2, doc_id, the counts, base_failed, host, host_rate, by_host, kept per row
+    of ``docs``.
 
     A document goes if it fails the base rule or a severe rule, or a weak rule
-    on a host whose shrunk failure rate exceeds ``bad_host``. A document that
-    fails no rule stays, whatever its host. Null text counts as empty (no
-    words: base_failed); a null source is a host of its own; repeated rows give
-    repeated results; an empty table gives no rows. Extra columns are ignored.
+    on a host whose shrunk failure rate lies ``deviations`` standard deviations of
+    the prior above all hosts' mean. ``by_host`` marks the documents whose host
+    decided: those that fail a weak rule alone. A document that fails no rule
+    stays, whatever its host. Null text counts as empty (no words: base_failed); a
+    null source is a host of its own; repeated rows give repeated results; an
+    empty table gives no rows. Extra columns are ignored.
     """
     flags = stored(rule_flags(text_counts(docs)), "quality")
-    hosts = host_rates(flags).select(F.col("host").alias("h"), F.col("rate").alias("host_rate"))
+    hosts = host_rates(flags, deviations).select(F.col("host").alias("h"), F.col("rate").alias("host_rate"), "limit")
     joined = flags.join(hosts, flags["host"].eqNullSafe(hosts["h"]))
-    bad = F.col("severe") | (F.col("weak") & (F.col("host_rate") > bad_host))
+    by_host = ~F.col("base_failed") & ~F.col("severe") & F.col("weak")
+    bad = F.col("severe") | (F.col("weak") & (F.col("host_rate") > F.col("limit")))
     return joined.select(
         "r1", "r2", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "host", "host_rate", (~F.col("base_failed") & ~bad).alias("kept"))
+        "host", "host_rate", by_host.alias("by_host"), (~F.col("base_failed") & ~bad).alias("kept"))
 
 
-def passing(docs: DataFrame, bad_host: float = 0.15) -> DataFrame:
+def passing(docs: DataFrame, deviations: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the verdicts keep, with all their columns."""
-    kept = quality_verdicts(docs, bad_host).filter("kept").select(
+    kept = quality_verdicts(docs, deviations).filter("kept").select(
         F.col("r1").alias("__r1"), F.col("r2").alias("__r2")).distinct()
     r1, r2 = row_key("doc_id", "source", "text")
     return (docs.withColumn("__r1", r1).withColumn("__r2", r2)
