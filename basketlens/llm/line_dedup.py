@@ -4,8 +4,10 @@ The exact part is a reference-count table: for each line key the number of
 documents that hold it. Over it, each shard of the key space has a cuckoo
 filter of the keys at or above the threshold. Inserting or deleting documents
 changes counts, and only keys that cross the threshold enter or leave their
-shard's filter. A line is looked up in its shard's filter first; only lines the
-filter lets through meet the exact table, which decides.
+shard's filter. Every line is looked up in its shard's filter first; only lines the
+filter lets through meet the exact table, which decides. A shard whose lines are too
+many for one task (a line that a third of the corpus repeats) has copies of its
+filter, and its lines are spread over them.
 """
 
 from __future__ import annotations
@@ -18,15 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import SPACE_CHARS, row_key, stored
+from basketlens.llm.common import SPACE_CHARS, lookup_join, row_key, stored
 from basketlens.llm.pretokens import rows_of
 
-# lines of a shard, about: a shard's lines and filter are handled by one task
+# lines that meet one copy of a shard's filter, about
 SHARD_LINES = 100_000
-MIN_SHARDS = 64
-# a key with more than 1/HOT_SHARE of all lines is looked up in a broadcast
-# table; there are at most HOT_SHARE such keys
-HOT_SHARE = 10_000
+# shards; the table of their copies (a row per shard) is broadcast
+MIN_SHARDS, MAX_SHARDS = 64, 65_536
 
 
 def line_key(line: str) -> tuple[int, int] | None:
@@ -120,15 +120,20 @@ def _document_keys(batches):
 
 
 def _lines(batches):
-    """(r1, r2, pos, h1, h2): every line that has a key."""
+    """(r1, r2, h1, h2, at): every key of a text and the positions of its lines."""
+    schema = pa.schema([(c, pa.int64()) for c in ("r1", "r2", "h1", "h2")] + [("at", pa.list_(pa.int32()))])
     for batch in batches:
         for r1, r2, texts in rows_of(batch):
-            out = [(a, b, pos, *key) for a, b, text in zip(r1, r2, texts)
-                   for pos, line in enumerate((text or "").split("\n")) if (key := line_key(line))]
-            cols = list(zip(*out)) if out else [()] * 5
-            yield pa.record_batch(
-                [pa.array(c, pa.int32() if i == 2 else pa.int64()) for i, c in enumerate(cols)],
-                ["r1", "r2", "pos", "h1", "h2"])
+            cols: tuple = ([], [], [], [], [])
+            for a, b, text in zip(r1, r2, texts):
+                places: dict = {}
+                for pos, line in enumerate((text or "").split("\n")):
+                    if key := line_key(line):
+                        places.setdefault(key, []).append(pos)
+                for key, at in places.items():
+                    for c, v in zip(cols, (a, b, *key, at)):
+                        c.append(v)
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
 def _updated_filter(key, old: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
@@ -150,10 +155,11 @@ def _updated_filter(key, old: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
 
 def _filtered(key, lines: pa.Table, filters: pa.Table) -> pa.Table:
     """A shard's lines that its filter lets through."""
+    lines = lines.drop_columns(["shard", "copy"])
     if not filters.num_rows:
-        return lines.slice(0, 0).drop_columns(["shard"])
+        return lines.slice(0, 0)
     table = CuckooFilter.read(filters["slots"][0].as_py())
-    return lines.filter(pa.array(table.has(lines["h2"].to_numpy()))).drop_columns(["shard"])
+    return lines.filter(pa.array(table.has(lines["h2"].to_numpy())))
 
 
 class LineIndex:
@@ -161,14 +167,15 @@ class LineIndex:
 
     ``insert`` and ``delete`` return the next version; the versions are Parquet
     tables in the shared folder, so an index survives lost executors. Deleting
-    what was inserted gives back the earlier counts and decisions. Deleting rows
-    never inserted raises ValueError.
+    what was inserted gives back the earlier counts and decisions. ``rows`` counts
+    the inserted rows by their key: deleting a row (doc_id and text) more often than
+    it was inserted raises ValueError and changes nothing.
     """
 
     def __init__(self, spark: SparkSession, threshold: int = 10, refs: DataFrame | None = None,
-                 filters: DataFrame | None = None, shards: int = 0, lines: int = 0):
+                 filters: DataFrame | None = None, shards: int = 0, rows: DataFrame | None = None):
         self.spark, self.threshold = spark, threshold
-        self.refs, self.filters, self.shards, self.lines = refs, filters, shards, lines
+        self.refs, self.filters, self.shards, self.rows = refs, filters, shards, rows
 
     def insert(self, docs: DataFrame) -> LineIndex:
         return self._changed(docs, 1)
@@ -176,7 +183,17 @@ class LineIndex:
     def delete(self, docs: DataFrame) -> LineIndex:
         return self._changed(docs, -1)
 
+    def _row_counts(self, docs: DataFrame, sign: int) -> DataFrame:
+        r1, r2 = row_key("doc_id", "text")
+        delta = docs.select(r1.alias("r1"), r2.alias("r2"), F.lit(sign).cast("long").alias("n"))
+        both = delta if self.rows is None else delta.unionByName(self.rows)
+        rows = stored(both.groupBy("r1", "r2").agg(F.sum("n").alias("n")).filter("n <> 0"), "line-rows")
+        if sign < 0 and not rows.filter("n < 0").isEmpty():
+            raise ValueError("documents were deleted that had not been inserted")
+        return rows
+
     def _changed(self, docs: DataFrame, sign: int) -> LineIndex:
+        rows = self._row_counts(docs, sign)
         delta = docs.select("text").mapInArrow(_document_keys, "h1 long, h2 long, n long").withColumn(
             "n", F.col("n") * sign).withColumn("old", F.lit(0).cast("long"))
         both = delta if self.refs is None else delta.unionByName(
@@ -185,11 +202,8 @@ class LineIndex:
         refs = stored(both.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.sum("old").alias("old"))
                       .select("h1", "h2", "n", (F.col("old") >= enough).alias("was"),
                               (F.col("n") >= enough).alias("now")), "line-refs")
-        lines, least = refs.agg(F.sum("n"), F.min("n")).first()
-        lines = lines or 0
-        if (least or 0) < 0:
-            raise ValueError("documents were deleted that had not been inserted")
-        shards = max(MIN_SHARDS, -(-lines // SHARD_LINES))
+        lines = refs.agg(F.sum("n")).first()[0] or 0
+        shards = min(MAX_SHARDS, max(MIN_SHARDS, -(-lines // SHARD_LINES)))
         keep = self.filters is not None and shards <= 2 * self.shards
         shards = self.shards if keep else shards
         changed = refs.filter("was or now").select(
@@ -198,21 +212,28 @@ class LineIndex:
         filters = stored(old.groupBy("shard").cogroup(changed.groupBy("shard"))
                          .applyInPandas(_updated_filter, "shard int, slots binary"), "line-filters")
         return LineIndex(self.spark, self.threshold, refs.filter("n > 0").select("h1", "h2", "n"),
-                         filters, shards, lines)
+                         filters, shards, rows)
+
+    def passed(self, docs: DataFrame) -> DataFrame:
+        """(r1, r2, h1, h2, at) of the keys of ``docs`` (r1, r2, text) that the
+        filters let through: those of frequent lines and a few others."""
+        lines = docs.select("r1", "r2", "text").mapInArrow(
+            _lines, "r1 long, r2 long, h1 long, h2 long, at array<int>").withColumn("shard", _shard(self.shards, None))
+        # copies by the lines of the index: a row per shard, at most MAX_SHARDS
+        copies = F.broadcast(self.refs.groupBy(_shard(self.shards)).agg(
+            F.ceil(F.sum("n") / SHARD_LINES).cast("int").alias("copies")))
+        spread = lines.join(copies, "shard").withColumn(
+            "copy", F.pmod(F.xxhash64("r1", "r2"), F.col("copies")).cast("int")).drop("copies")
+        filters = self.filters.join(copies, "shard").select(
+            "shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "slots")
+        return (spread.groupBy("shard", "copy").cogroup(filters.groupBy("shard", "copy"))
+                .applyInArrow(_filtered, "r1 long, r2 long, h1 long, h2 long, at array<int>"))
 
     def _frequent_lines(self, docs: DataFrame) -> DataFrame:
         """(r1, r2, drop): per row key, the positions of its frequent lines."""
-        lines = docs.select("r1", "r2", "text").mapInArrow(_lines, "r1 long, r2 long, pos int, h1 long, h2 long")
-        limit = self.lines / HOT_SHARE
-        hot = F.broadcast(self.refs.filter(F.col("n") > limit))
-        marked = lines.join(hot, ["h1", "h2"], "left")
-        found = marked.filter(F.col("n") >= self.threshold).select("r1", "r2", "pos")
-        passed = (marked.filter("n is null").select("r1", "r2", "pos", "h1", "h2", _shard(self.shards))
-                  .groupBy("shard").cogroup(self.filters.groupBy("shard"))
-                  .applyInArrow(_filtered, "r1 long, r2 long, pos int, h1 long, h2 long"))
-        exact = self.refs.filter((F.col("n") >= self.threshold) & (F.col("n") <= limit)).select("h1", "h2")
-        found = found.unionByName(passed.join(exact, ["h1", "h2"], "left_semi").select("r1", "r2", "pos"))
-        return found.groupBy("r1", "r2").agg(F.collect_set("pos").alias("drop"))
+        exact = self.refs.filter(F.col("n") >= self.threshold)
+        found = lookup_join(stored(self.passed(docs), "line-passed"), exact, ["h1", "h2"], "n", how="left_semi")
+        return found.groupBy("r1", "r2").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("drop"))
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """``docs`` with kept_text, n_lines, n_dropped: all lines whose key is in
@@ -235,8 +256,9 @@ class LineIndex:
                 .select(*(F.col(f"`{c}`") for c in rows.columns), *(F.col(f"__kept.{c}") for c in new)))
 
 
-def _shard(shards: int) -> Column:
-    return F.pmod(F.col("h1"), F.lit(shards)).cast("int").alias("shard")
+def _shard(shards: int, name: str | None = "shard") -> Column:
+    column = F.pmod(F.col("h1"), F.lit(shards)).cast("int")
+    return column.alias(name) if name else column
 
 
 def _without(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
