@@ -19,13 +19,13 @@ MEMO_KEY = 64
 
 
 class Memo(dict):
-    """key -> ``work(key)`` in two generations of MEMO_ENTRIES at most: when the
+    """key -> ``work(key)`` in two generations of ``entries`` at most: when the
     young one is full it becomes the old one, so keys in use stay and the others
     are forgotten, and computed again if they come back."""
 
-    def __init__(self, work):
+    def __init__(self, work, entries: int | None = None):
         super().__init__()
-        self.work, self.old = work, {}
+        self.work, self.old, self.entries = work, {}, entries or MEMO_ENTRIES
 
     def __missing__(self, key):
         value = self.old[key] if key in self.old else self.work(key)
@@ -34,7 +34,7 @@ class Memo(dict):
         return value
 
     def keep(self, key, value):
-        if len(self) >= MEMO_ENTRIES:
+        if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
         self[key] = value

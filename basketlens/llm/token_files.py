@@ -7,20 +7,25 @@ numbers. A rank takes 1 to 4 data bytes; its length goes into a separate control
 
 from __future__ import annotations
 
+import json
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import delete_at_exit, give_back, stored
-from basketlens.llm.pretokens import by_chunk, ends_in_space, rows_of
+from basketlens.llm.pretokens import Memo, ends_in_space, rows_of
 from basketlens.session import scratch_path
 
-# characters of texts whose distinct chunks are encoded together
+# characters of texts that are encoded before their rows go on
 BLOCK_CHARS = 16 << 20
 
+# entries of each generation of a worker's memos (of chunks, of pieces)
+MEMO = 500_000
+
 # ids in a block of the files (a longer document is a block of its own)
 BLOCK_IDS = 1 << 20
 
@@ -54,9 +59,24 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+# How the byte-level pre-tokenizer cuts a text, and the letters that
+# stand for bytes: printable ones for themselves, the others for the next from 256 on.
+PIECES = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: b for b in sorted(_PRINTED)} | {
+    b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
 class ChunkEncoder:
-    """Ids of texts by the tokenizers library, which sees each distinct chunk of a
-    block of texts once. One per worker process: later tasks find it again."""
+    """Ids of texts by the tokenizers library: chunks are cut into pieces as its
+    byte-level pre-tokenizer cuts them, its model encodes the pieces, each only once
+    as long as the worker remembers it. One per worker process: later blocks and
+    tasks find its memos again.
+
+    Texts that can't be cut at spaces or hold an added token's string, and all
+    texts of a tokenizer with another pre-tokenizer, take the library's whole way.
+    """
 
     made: dict = {}
 
@@ -75,20 +95,39 @@ class ChunkEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.code = Tokenizer.from_str(model), "H" if kind == "<u2" else "I"
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        cut = json.loads(model)["pre_tokenizer"] or {}
+        self.whole = self.tokenizer.normalizer is not None or not (
+            cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True))
+        self.tokens = self.tokenizer.model.tokenize
+        self.pieces, self.chunks = Memo(self.piece, MEMO), Memo(self.chunk, MEMO)
 
     def one(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = {c for t in texts for c in t.split(" ")[1:-1]}
-        ids: dict = {c: None for c in chunks if ends_in_space(c)}
-        chunks = list(chunks.difference(ids))
-        for at in range(0, len(chunks), 1000):
-            some = chunks[at:at + 1000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast([" " + c for c in some], add_special_tokens=False)):
-                ids[c] = array(self.code, e.ids).tobytes()
-        parts = [by_chunk(t, ids, self.one) for t in texts]
-        return [self.one(t) if p is None else b"".join(p) for t, p in zip(texts, parts)]
+    def piece(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.tokens(letters)]).tobytes()
+
+    def chunk(self, chunk: str) -> bytes | None:
+        """None for a chunk after which a text can't be cut."""
+        if chunk.isalpha():
+            return self.pieces[" " + chunk]
+        return None if ends_in_space(chunk) else self.cut_up(" " + chunk)
+
+    def cut_up(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+
+    def encode(self, text: str) -> bytes:
+        first, *chunks = text.split(" ")
+        if self.whole or not chunks or (first and ends_in_space(first)) or any(a in text for a in self.added):
+            return self.one(text)
+        parts = list(map(self.chunks.__getitem__, chunks))
+        if None in parts:
+            return self.one(text)
+        if first:
+            parts.insert(0, self.cut_up(first))
+        return b"".join(parts)
 
 
 def _blocks(batches, size: int = BLOCK_CHARS):
@@ -128,7 +167,7 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         end = np.array([end_id], kind).tobytes()
         counts = np.zeros(most + 1, np.int64)
         for ids, texts in _blocks(batches):
-            out = [x + end for x in encoder.encode(texts)]
+            out = [encoder.encode(t) + end for t in texts]
             counts += np.bincount(np.frombuffer(b"".join(out), kind), minlength=most + 1)
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(out, pa.binary()),
                                    pa.array([None] * len(out), pa.binary())], columns)
