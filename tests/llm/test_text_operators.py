@@ -50,6 +50,25 @@ def test_quality_windows_beyond_the_packed_positions(spark, monkeypatch):
     assert quality_verdicts(d).first().n_repeat_words == brute.quality(text)[4]
 
 
+def test_a_weak_failure_goes_on_a_bad_host_only(spark):
+    clean = " ".join(f"word{i}" for i in range(80))
+    table = clean + " " + " | ".join(f"cell{i}" for i in range(40))
+    rows = [(i, clean, f"host{i % 8}") for i in range(200)]
+    rows += [(1000 + i, table, "bad") for i in range(20)] + [(2000, table, "host1"), (2001, clean, "bad"), (2002, table, None)]
+    out = {r.doc_id: r for r in quality_verdicts(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not out[1000].kept and out[2000].kept and out[2001].kept
+    assert out[1000].by_host and out[2000].by_host and not out[2001].by_host
+    assert sum(r.by_host for r in out.values()) == 22
+
+
+def test_hosts_that_agree_are_not_bad(spark):
+    table = " | ".join(f"cell{i}" for i in range(60))
+    rows = [(i, table, f"host{i % 4}") for i in range(40)]
+    out = quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(r.kept and r.by_host for r in out)
+
+
 def test_quality_keeps_clean_documents_of_bad_hosts(spark):
     clean = " ".join(f"word{i}" for i in range(80))
     rows = [(i, "junk $$$ ### " * 40, "bad") for i in range(30)] + [(100, clean, "bad"), (101, clean, "good")]
@@ -88,12 +107,39 @@ def test_line_index_is_reversible(spark):
         index.delete(docs)
 
 
-def test_line_index_with_hot_and_filtered_keys(spark, monkeypatch):
+def test_hot_lines_meet_copies_of_their_filter(spark, monkeypatch):
     from basketlens.llm import line_dedup
-    monkeypatch.setattr(line_dedup, "HOT_SHARE", 4)
-    rows = [(i, f"hot\nline {i % 7}\nown {i}") for i in range(70)]
-    out = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 10).collect()
+    monkeypatch.setattr(line_dedup, "SHARD_LINES", 20)
+    monkeypatch.setattr(line_dedup, "MIN_SHARDS", 2)
+    rows = [(i, f"hot\nline {i % 7}\nown {i}\nHOT ") for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = dedup_lines(docs, 10).collect()
     assert {r.kept_text for r in out} == {f"own {i}" for i in range(70)}
+    assert {r.n_dropped for r in out} == {3}
+
+
+def test_every_frequent_line_passes_its_filter(spark):
+    """At this size too: the filters let all frequent lines through and hardly any other."""
+    from basketlens.llm.common import row_key
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    index = LineIndex(spark, 10).insert(docs)
+    r1, r2 = row_key("doc_id", "text")
+    passed = index.passed(docs.select(r1.alias("r1"), r2.alias("r2"), "text")).groupBy("h1", "h2").count()
+    frequent = index.refs.filter("n >= 10")
+    assert frequent.count() > 0
+    assert frequent.join(passed, ["h1", "h2"], "left_anti").count() == 0
+    assert passed.count() < frequent.count() + 0.01 * index.refs.count() + 5
+
+
+def test_foreign_deletion_is_seen(spark):
+    """Lines that other rows brought in don't make a row deletable."""
+    schema = "doc_id long, text string"
+    index = LineIndex(spark, 3).insert(spark.createDataFrame([(1, "x\ny"), (2, "z\nw"), (2, "z\nw")], schema))
+    for rows in ([(1, "x\nz")], [(3, "x\ny")], [(1, "x\ny"), (1, "x\ny")]):
+        with pytest.raises(ValueError):
+            index.delete(spark.createDataFrame(rows, schema))
+    left = index.delete(spark.createDataFrame([(2, "z\nw"), (1, "x\ny")], schema))
+    assert left.rows.agg({"n": "sum"}).first()[0] == 1 and left.refs.count() == 2
 
 
 def test_cuckoo_filter():
@@ -107,6 +153,32 @@ def test_cuckoo_filter():
     assert not full.add(keys)
 
 
+def test_token_counts_of_all_short_strings():
+    import itertools
+
+    from sentencepiece import SentencePieceProcessor
+
+    from basketlens.llm.token_counts import SegmentCounts
+    model = open(P.path("piece_bpe_32k.model"), "rb").read()
+    library, counts = SentencePieceProcessor(model_proto=model), SegmentCounts.of(model)
+    texts = ["".join(x) for n in range(6) for x in itertools.product("a\u2581 \n\u00a0", repeat=n)]
+    assert [counts.count(t) for t in texts] == [len(library.encode(t)) for t in texts]
+
+
+def test_chunk_encoder_equals_the_library_on_odd_texts():
+    import random
+
+    from tokenizers import Tokenizer
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        model = f.read()
+    encoder, library = token_files.ChunkEncoder.of(model, "<u2"), Tokenizer.from_str(model)
+    rng = random.Random(5)
+    letters = ["a", "b", " ", "  ", "\n", "\r", "'s", "1", "\u00e9", "\u65e5", "!", "<|endoftext|>", " \n", "\t", "\u0301", "\u00a0"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(20_000)]
+    want = [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [encoder.encode(t) for t in texts] == want
+
+
 def test_token_counts(docs):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
