@@ -5,7 +5,9 @@ One generic ``grid_search`` serves all model kinds.  The runs
 table (Parquet, append-only) is the resume log: grid points already present
 are skipped with an anti join (E7), each finished fit appends one row (G1)
 and its fitted ``PipelineModel`` -- feature stages included -- is saved under
-the run id (A13).  Model picks are plain aggregates over that table.
+the run id (A13).  Points are claimed one by one through the shared folder, so
+several applications share a grid and none fits a point twice.  Model picks are
+plain aggregates over the table.
 
 Training itself is MLlib's: tree learners aggregate split statistics per
 partition (treeAggregate) and LR runs distributed L-BFGS/OWL-QN, so a fit is
@@ -14,7 +16,8 @@ a sequence of Spark jobs over the cached training frame.
 
 from __future__ import annotations
 
-import threading
+import queue
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from pyspark.ml.feature import IndexToString
 
+from basketlens.operators.claims import LEASE_SECONDS, Claims
 from basketlens.operators.features import category_feature_stages, intent_feature_stages
 from basketlens.schemas import RUNS_SCHEMA
 from basketlens.sources.sinks import is_missing
@@ -67,6 +71,8 @@ PARAM_NAMES: dict[tuple[str, str], list[str]] = {
 SEED = 42
 # fits that run at once: each is a chain of small jobs over the persisted vectors
 PARALLEL_FITS = 6
+# seconds between looks at the runs table while other applications fit the last points
+POLL_SECONDS = 2.0
 
 _ESTIMATORS: dict[str, Callable] = {
     "rf": RandomForestClassifier,
@@ -135,7 +141,7 @@ def evaluate(task: str, predictions: DataFrame) -> dict[str, float | None]:
 def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
     """The runs table, or an empty one with the declared schema if there is none."""
     try:
-        return spark.read.schema(RUNS_SCHEMA).parquet(runs_path)
+        return spark.read.schema(RUNS_SCHEMA).parquet(runs_path).select(*RUNS_SCHEMA.fieldNames())
     except AnalysisException as e:
         if not is_missing(e):
             raise
@@ -155,13 +161,17 @@ def pending_grid(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
     return grid_frame(spark, task, grids).join(done, ["task", "model", "typed"], "left_anti").drop("typed")
 
 
-_APPEND_LOCK = threading.Lock()
+def _pending_points(spark, task, grids, runs_path) -> list[tuple[str, tuple]]:
+    pend = {(r["model"], r["grid_pos"]) for r in pending_grid(spark, task, grids, runs_path).collect()}
+    todo = [(m, p) for m, points in grids.items() for i, p in enumerate(points) if (m, i) in pend]
+    # the slowest kinds first, so that they don't come last alone
+    return sorted(todo, key=lambda x: ("gbt", "rf", "lr", "dt", "nb").index(x[0]))
 
 
 def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
                 train: DataFrame, test: DataFrame, runs_path: str, model_root: str,
                 labels: Sequence[str] | None = None, features: PipelineModel | None = None,
-                parallel: int = PARALLEL_FITS) -> DataFrame:
+                parallel: int = PARALLEL_FITS, lease: float = LEASE_SECONDS) -> DataFrame:
     """Fit every pending grid point, append one run row per fit, save each
     fitted pipeline; return the runs rows of this task.
 
@@ -171,10 +181,12 @@ def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
     evaluation inside it is a distributed Spark job.  For the category task the
     frames carry the class index ``label`` and ``labels`` names the classes in
     index order.
+
+    Applications that search the same grid at once share it: a point is fitted by
+    whoever claims it, the others wait for its row.  The points of an application
+    that died become free after ``lease`` seconds.
     """
-    pend = {(r["model"], r["grid_pos"]) for r in pending_grid(spark, task, grids, runs_path).collect()}
-    todo = [(m, p) for m, points in grids.items() for i, p in enumerate(points) if (m, i) in pend]
-    if not todo:
+    if not _pending_points(spark, task, grids, runs_path):
         return read_runs(spark, runs_path).filter(F.col("task") == task)
     features = features or feature_pipeline(task).fit(train)
     train, test = (features.transform(x).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
@@ -193,15 +205,41 @@ def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
             "run_id string, task string, model string, params string, "
             "param_map map<string,string>, model_params string, auc double, "
             "pr_auc double, accuracy double, model_path string")
-        with _APPEND_LOCK:                       # one append job commits at a time
-            append_run(row.withColumn("trained_at", F.current_timestamp()), runs_path)
+        append_run(row.withColumn("trained_at", F.current_timestamp()), runs_path)
+
+    def work(points: queue.SimpleQueue, claims: Claims) -> int:
+        """Fit the points of the queue that nobody else holds; how many."""
+        fits = 0
+        while True:
+            try:
+                model, point = points.get_nowait()
+            except queue.Empty:
+                return fits
+            claim = claims.take(f"{task}|{model}|{_map_text(param_map(task, model, point))}")
+            if claim is None:
+                continue
+            done = False
+            try:
+                # its row may have come between the look at the table and the claim
+                if (model, point) in _pending_points(spark, task, {model: [point]}, runs_path):
+                    fit(model, point)
+                    fits += 1
+                done = True
+            finally:
+                claims.drop(claim, done)
 
     try:
-        # the slowest kinds first, so that they don't come last alone
-        todo.sort(key=lambda x: ("gbt", "rf", "lr", "dt", "nb").index(x[0]))
         train.count(), test.count()
-        with ThreadPool(max(1, min(parallel, len(todo)))) as pool:
-            pool.starmap(inheritable_thread_target(fit), todo, chunksize=1)
+        with Claims(spark, f"{runs_path.rstrip('/')}-claims", lease) as claims:
+            while todo := _pending_points(spark, task, grids, runs_path):
+                points: queue.SimpleQueue = queue.SimpleQueue()
+                for x in todo:
+                    points.put(x)
+                threads = max(1, min(parallel, len(todo)))
+                with ThreadPool(threads) as pool:
+                    fits = pool.map(inheritable_thread_target(lambda _: work(points, claims)), range(threads))
+                if not sum(fits):
+                    time.sleep(POLL_SECONDS)         # others hold what is left
     finally:
         train.unpersist()
         test.unpersist()
@@ -218,8 +256,10 @@ def estimator_params_json(fitted: PipelineModel) -> str:
 
 
 def append_run(row: DataFrame, runs_path: str) -> None:
-    """G1: append result rows to the runs table."""
-    row.select(*[f.name for f in RUNS_SCHEMA.fields]).write.mode("append").parquet(runs_path)
+    """G1: append result rows to the runs table.  Each append has a folder of its
+    own: jobs of two applications that append to one folder would clear away each
+    other's temporary files."""
+    row.select(*RUNS_SCHEMA.fieldNames()).write.parquet(f"{runs_path}/batch={uuid.uuid4().hex}")
 
 
 def _metric(task: str) -> str:
