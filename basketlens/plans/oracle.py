@@ -472,3 +472,8 @@ roc AS (SELECT smoothing, sum(pos::DOUBLE * (neg_below + (n - pos) * 0.5::DOUBLE
 SELECT smoothing || '_multinomial' AS params, round(auc, 9) AS auc, pr_area AS pr_auc
 FROM roc JOIN area USING (smoothing)"""
 ORACLE_SQL["nb_fitted"] = ORACLE_SQL["nb_relational"]
+
+ORACLE_SQL["stream_compacted"] = _BASE + f"SELECT {_FEATURE_COLS}, label_category FROM catsess"
+ORACLE_SQL["stream_hand_over"] = _BASE + """
+SELECT user_session, CASE WHEN num_views % 2 = 0 THEN 'first' ELSE 'better' END AS served, true AS prob_ok
+FROM catsess WHERE main_category IS NOT NULL"""

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pyspark.ml.functions import vector_to_array
 
@@ -28,11 +29,12 @@ from basketlens.operators.sessions import (labeled_sessions, purchase_labels,
 from basketlens.plans import data_runs, growth, session_tables, streams, tables, training
 from basketlens.schemas import SESSION_FEATURE_COLUMNS
 from basketlens.session import scratch_path
-from basketlens.schemas import RAW_EVENT_CSV_SCHEMA
+from basketlens.schemas import RAW_EVENT_CSV_SCHEMA, SESSION_MESSAGE_SCHEMA
 from basketlens.sources.events import load_events_csv, sample_rows, sample_sessions
 from basketlens.sources.messages import (decode_session_messages, encode_session_messages,
                                          with_message_defaults)
 from basketlens.sources.events import read_scored_sessions
+from basketlens.streaming.scoring import read_quarantine, read_scored
 from basketlens.sources.sinks import save_scored_sessions, scored_columns, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -544,7 +546,7 @@ def q_stream_source(spark, sf_dir):
 
 def q_stream_scores(spark, sf_dir):
     paths = streams.run_scoring(spark, sf_dir)
-    return streams.read_output(spark, paths["scored"]).drop("batch_id")
+    return read_scored(spark, paths["scored"]).drop("batch_id")
 
 
 def q_stream_sink(spark, sf_dir):
@@ -553,7 +555,7 @@ def q_stream_sink(spark, sf_dir):
 
 def q_stream_threshold(spark, sf_dir):
     paths = streams.run_scoring(spark, sf_dir, replays=2, threshold=2)
-    return streams.read_output(spark, paths["scored"]).drop("batch_id")
+    return read_scored(spark, paths["scored"]).drop("batch_id")
 
 
 def q_stream_threshold_checked(spark, sf_dir):
@@ -566,7 +568,17 @@ def q_stream_threshold_checked(spark, sf_dir):
 
 def q_stream_quarantine(spark, sf_dir):
     paths = streams.run_scoring(spark, sf_dir, foreign=True)
-    return streams.read_output(spark, paths["quarantine"]).select("value")
+    return read_quarantine(spark, paths["quarantine"]).select("value")
+
+
+def q_stream_compacted(spark, sf_dir):
+    """Every message once, after 40 micro-batches, merges and a restart."""
+    fields = [f for f in SESSION_MESSAGE_SCHEMA.fields]
+    return tables.rounded_price(streams.compacted_messages(spark, sf_dir).read(StructType(fields)))
+
+
+def q_stream_hand_over(spark, sf_dir):
+    return streams.handed_over(spark, sf_dir)
 
 
 def q_stream_session_features(spark, sf_dir):
@@ -663,5 +675,7 @@ QUERIES: dict[str, Query] = {
     "stream_sink": q_stream_sink,
     "stream_threshold": q_stream_threshold,
     "stream_quarantine": q_stream_quarantine,
+    "stream_compacted": q_stream_compacted,
+    "stream_hand_over": q_stream_hand_over,
     "stream_session_features": q_stream_session_features,
 }

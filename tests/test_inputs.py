@@ -109,8 +109,11 @@ def test_threshold_buffer_loses_nothing_of_a_lagging_source(spark, workdir):
         os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
     msgs = (spark.readStream.schema("value string, arrival timestamp").option("maxFilesPerTrigger", 1)
             .json(str(folder)))
-    q = (buffer_by_session(msgs, 2).writeStream.format("parquet").option("path", f"{workdir}/out")
-         .option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
+    from basketlens.session import settings
+    from basketlens.streaming.threshold import rocksdb_state
+    with settings(spark, rocksdb_state(spark)):
+        q = (buffer_by_session(msgs, 2).writeStream.format("parquet").option("path", f"{workdir}/out")
+             .option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     rows = spark.read.parquet(f"{workdir}/out").collect()
     assert {(r.user_session, r.n_messages, json.loads(r.value)["num_views"]) for r in rows} == {
