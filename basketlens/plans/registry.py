@@ -572,7 +572,7 @@ def q_stream_quarantine(spark, sf_dir):
 
 
 def q_stream_compacted(spark, sf_dir):
-    """Every message once, after 40 micro-batches, merges and a restart."""
+    """Every message once, after 20 micro-batches, merges and a restart."""
     fields = [f for f in SESSION_MESSAGE_SCHEMA.fields]
     return tables.rounded_price(streams.compacted_messages(spark, sf_dir).read(StructType(fields)))
 
