@@ -25,8 +25,10 @@ from basketlens.llm.components import components
 from basketlens.llm.shingles import BANDS, REGISTERS, band_keys, digest, shingle_sets, similarity, sketch
 
 # Estimates have a standard error of 0.04 to 0.05 at similarity 0.75: pairs
-# below this estimate are no candidates.
+# below this estimate are no candidates. Sets below SMALL shingles borrow most of
+# their registers and may err more: they are compared whole, whatever the estimate.
 LIKELY = 0.5
+SMALL = 32
 # classes of a bucket, shingles of a cluster, that one block holds
 BUCKET_BLOCK = 4_000
 CLUSTER_BLOCK = 1_000_000
@@ -148,7 +150,8 @@ def _bucket_edges(batches):
         sketches, size = _sketches(run["sketch"]), run["n_shingles"].to_numpy()
 
         def likely(p, rest):
-            return similarity(sketches[p], sketches[rest], np.maximum(size[p], size[rest])) >= LIKELY
+            large = np.maximum(size[p], size[rest])
+            return (large < SMALL) | (similarity(sketches[p], sketches[rest], large) >= LIKELY)
 
         x, y = _stars(run["node"].to_numpy(), _forest(len(size), likely, _hubs_first(sketches)))
         a += x
@@ -174,7 +177,7 @@ def _verified_edges(percent: int):
             def linked(p, rest):
                 small, large = np.minimum(sizes[p], sizes[rest]), np.maximum(sizes[p], sizes[rest])
                 ok = 100 * small >= percent * large
-                ok[ok] = similarity(sketches[p], sketches[rest[ok]], large[ok]) >= LIKELY
+                ok[ok] = (large[ok] < SMALL) | (similarity(sketches[p], sketches[rest[ok]], large[ok]) >= LIKELY)
                 mine = codes[starts[p]:starts[p + 1]]
                 marks[mine] = True
                 for k in np.flatnonzero(ok):
