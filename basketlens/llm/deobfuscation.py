@@ -32,9 +32,6 @@ _EDGE = re.compile(r"^[\"'(\[{.,;:?]+|(?:([#*$%&|<>!])\1+|[.,;:?!)\]}\"'%#&*|<>]
 _LETTER = re.compile(r"[^\W\d_]")
 _ODD = re.compile(r"[^\w]|\d|_")
 _RUN = re.compile(r"(.)\1\1+")
-# a written word with more characters than this after its stretches are shortened
-# is decoded in stretches of so many characters that overlap by half
-LONGEST = 120
 
 
 def letter_class(c: str) -> int:
@@ -77,42 +74,54 @@ def suspicious(word: str) -> bool:
     return bool(_ODD.search(word) or _RUN.search(word))
 
 
-def restore(word: str, model: CharacterModel, spaced: bool = False) -> list[str]:
-    """The likeliest intended words of a lower-case written word (without spaces);
-    more than one only with ``spaced``, which allows word breaks, as it is for
-    the stretches of a word above LONGEST."""
+def decode(word: str, model: CharacterModel, spaced: bool = False) -> tuple[float, str]:
+    """Log probability and text of the likeliest intended letters of a lower-case
+    written word (without spaces), stretches shortened first; ``spaced`` allows
+    word breaks. Viterbi over the classes of the last two letters; a state holds
+    its letters as a chain, so the time grows with the word's length only.
+    """
     short = _RUN.sub(r"\1\1", word)
-    if len(short) > LONGEST:
-        return [x for at in range(0, len(short) - LONGEST // 2, LONGEST // 2)
-                for x in restore(short[at:at + LONGEST], model, spaced=True)]
     table = model.table
-    # state: classes of the last two letters -> (score, letters so far)
-    states = {(0, 0): (0.0, "")}
+    # state: classes of the last two letters -> (score, (chain before, letter))
+    states: dict = {(0, 0): (0.0, None)}
     before = ""
     for c in short:
-        if _LETTER.match(c):
+        plain = _LETTER.match(c) is not None
+        if plain:
             choices = [(c, PLAIN)]
         else:
             choices = [(x, SWAPPED - log(len(LOOKALIKES[c]))) for x in LOOKALIKES.get(c, "")]
-        skip = DIGIT if c.isdigit() else None if _LETTER.match(c) else SIGN
+        choices = [(x, letter_class(x), p) for x, p in choices]
+        skip = None if plain else DIGIT if c.isdigit() else SIGN
         new: dict = {}
-        for (a, b), (score, text) in states.items():
+
+        def better(state, score):
+            return state not in new or score > new[state][0]
+
+        for (a, b), (score, chain) in states.items():
             row = table[a][b]
-            for x, p in choices:
-                k = letter_class(x)
+            for x, k, p in choices:
                 s = score + p + row[k]
-                if s > new.get((b, k), (-1e18,))[0]:
-                    new[(b, k)] = (s, text + x)
+                if better((b, k), s):
+                    new[(b, k)] = (s, (chain, x))
                 if spaced and b:
                     s = score + p + BREAK + row[0] + table[b][0][k]
-                    if s > new.get((0, k), (-1e18,))[0]:
-                        new[(0, k)] = (s, text + " " + x)
-                if text and text[-1] == x and c == before:
-                    s = score + STRETCH
-                    if s > new.get((a, b), (-1e18,))[0]:
-                        new[(a, b)] = (s, text)
-            if skip is not None and score + skip > new.get((a, b), (-1e18,))[0]:
-                new[(a, b)] = (score + skip, text)
+                    if better((0, k), s):
+                        new[(0, k)] = (s, (chain, " " + x))
+                if chain and chain[1][-1] == x and c == before and better((a, b), score + STRETCH):
+                    new[(a, b)] = (score + STRETCH, chain)
+            if skip is not None and better((a, b), score + skip):
+                new[(a, b)] = (score + skip, chain)
         states, before = new or states, c
-    best = max(states.items(), key=lambda x: (x[1][0] + table[x[0][0]][x[0][1]][0], x[1][1]))
-    return best[1][1].split()
+    score, _, chain = max(((s + table[a][b][0], (a, b), chain) for (a, b), (s, chain) in states.items()),
+                          key=lambda x: x[:2])
+    letters = []
+    while chain:
+        chain, x = chain
+        letters.append(x)
+    return score, "".join(reversed(letters))
+
+
+def restore(word: str, model: CharacterModel, spaced: bool = False) -> list[str]:
+    """The likeliest intended words; more than one only with ``spaced``."""
+    return decode(word, model, spaced)[1].split()

@@ -18,9 +18,8 @@ from basketlens.llm.deobfuscation import CLASSES, LOOKALIKES, CharacterModel, by
 from basketlens.llm.pretokens import Memo, rows_of
 
 # The classifier is fitted on this many labelled documents at most, about (by a
-# hash of the id), and keeps this many weights.
+# hash of the id); it keeps all weights that stand out there.
 SAMPLE_DOCS = 20_000
-LEXICON = 20_000
 # lengths of the word starts that count as features beside whole words
 STARTS = (4, 5, 6)
 N_FEATURES = 4
@@ -30,8 +29,6 @@ _SINGLES = re.compile("1{3,}")
 # where a written word may hold several: at any sign, or at signs that stand for no letter
 _SIGNS = re.compile(r"[\W_]+")
 _GAPS = re.compile("(?:(?![" + re.escape("".join(LOOKALIKES)) + r"])[\W_])+")
-# pieces that a spaced word is joined from, at most
-PIECES = 6
 
 
 def held_out(doc_id: Column) -> Column:
@@ -85,9 +82,7 @@ class Restorer:
         for m in _SINGLES.finditer(marks):
             joined = "".join(written[m.start():m.end()])
             if len({c for c in joined if c.isalnum()}) >= 3:
-                # long rows of single characters are decoded a stretch at a time, with overlap
-                for at in range(0, len(joined), 20):
-                    out += restore(joined[at:at + 40], self.model, spaced=True)
+                out += restore(joined, self.model, spaced=True)
         return out
 
 
@@ -134,7 +129,9 @@ class Scorer:
         out, first = [], self.starts.intersection(written)
         for at in [i for i, w in enumerate(written) if w in first] if first else ():
             word = written[at]
-            for piece in written[at + 1:at + PIECES] if word not in self.whole else ():
+            # ends with the longest start at the latest
+            for i in range(at + 1, len(written)) if word not in self.whole else ():
+                piece = written[i]
                 last = edge_free(piece)
                 if word + last in self.whole and last not in self.whole:
                     out.append(word + last)
@@ -205,8 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, float
                   .groupBy("feature").agg(
         *(F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for f in (0, 1)
           for c in ("toxic", "n")))
-                  .filter("toxic0 + toxic1 >= 3 and 4 * (toxic0 + toxic1) >= n0 + n1")
-                  .orderBy(F.desc(F.expr("toxic0 + toxic1")), "feature").limit(LEXICON).toPandas())
+                  .filter("toxic0 + toxic1 >= 3 and 4 * (toxic0 + toxic1) >= n0 + n1").toPandas())
     features = by_feature["feature"].to_numpy()
 
     def lexicon(folds):

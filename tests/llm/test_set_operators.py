@@ -183,6 +183,59 @@ def test_restoring_words(spark):
     assert not suspicious("house") and not suspicious("1234") and not suspicious("")
 
 
+def best_path(word, model, spaced):
+    """Score of the best of all ways to read ``word``, one by one."""
+    from basketlens.llm import deobfuscation as d
+    short = d._RUN.sub(r"\1\1", word)
+    best = -1e18
+
+    def walk(i, a, b, letters, score):
+        nonlocal best
+        if i == len(short):
+            best = max(best, score + model.table[a][b][0])
+            return
+        c, plain = short[i], short[i].isalpha()
+        ways = 0
+        for x, p in [(c, d.PLAIN)] if plain else [(x, d.SWAPPED - np.log(len(d.LOOKALIKES[c]))) for x in d.LOOKALIKES.get(c, "")]:
+            k = d.letter_class(x)
+            walk(i + 1, b, k, letters + x, score + p + model.table[a][b][k])
+            ways += 1
+            if spaced and b:
+                walk(i + 1, 0, k, letters + x, score + p + d.BREAK + model.table[a][b][0] + model.table[b][0][k])
+            if letters and letters[-1] == x and i and c == short[i - 1]:
+                walk(i + 1, a, b, letters, score + d.STRETCH)
+        if not plain:
+            walk(i + 1, a, b, letters, score + (d.DIGIT if c.isdigit() else d.SIGN))
+
+    walk(0, 0, 0, "", 0.0)
+    return best
+
+
+def test_viterbi_finds_the_best_of_all_paths(spark):
+    from basketlens.llm.deobfuscation import decode
+    docs = spark.createDataFrame([("the stupid idiot and the loser came to the pathetic house " * 20,)], "text string")
+    model = CharacterModel(character_counts(docs))
+    rng = np.random.RandomState(2)
+    for _ in range(400):
+        word = "".join(rng.choice(list("idotsel1!3$*.-")) for _ in range(rng.randint(1, 8)))
+        for spaced in (False, True):
+            assert abs(decode(word, model, spaced)[0] - best_path(word, model, spaced)) < 1e-9, word
+
+
+def test_long_words_are_decoded_like_short_ones(spark):
+    """No length from which another rule holds, and time in proportion to it."""
+    import time
+    docs = spark.createDataFrame([("the stupid idiot and the loser came to the pathetic house " * 20,)], "text string")
+    model = CharacterModel(character_counts(docs))
+    assert restore("st0pid1d10t" * 30, model) == ["".join(restore("st0pid1d10t" * 30, model))]
+    start = time.process_time()
+    restore("1d10t$tup1d" * 4000, model)
+    assert time.process_time() - start < 30
+    from basketlens.llm.toxicity import Scorer
+    scorer = Scorer(model, {"patheticloserx": 3.0})
+    assert scorer.features("pa th et ic lo se rx")[0] == 3                # seven pieces
+
+
 def toxic_rows():
     rng = np.random.RandomState(5)
     words = [f"{a}{b}" for a in ("mor", "tal", "rin", "sep", "lun") for b in ("a", "os", "ent", "ing", "ul")]
