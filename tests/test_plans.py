@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from basketlens.operators.clean import clean_events
 from basketlens.operators.sessions import session_features
 from basketlens.plans import tables
+from basketlens.plans.oracle import ORACLE_SQL
 from conftest import SF_SMALL
 from joined_form import joined_features
 
@@ -39,7 +40,7 @@ def test_events_scan_is_pruned(spark):
     assert scans and all("event_id" not in ln for ln in scans)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_no_python_in_batch_plans(spark, name):
     if name.startswith("stream_") or name in ("write_read_features", "load_events_csv"):
         pytest.skip("materialises through a sink first")
