@@ -477,3 +477,38 @@ ORACLE_SQL["stream_compacted"] = _BASE + f"SELECT {_FEATURE_COLS}, label_categor
 ORACLE_SQL["stream_hand_over"] = _BASE + """
 SELECT user_session, CASE WHEN num_views % 2 = 0 THEN 'first' ELSE 'better' END AS served, true AS prob_ok
 FROM catsess WHERE main_category IS NOT NULL"""
+
+# scores of the fitted naive Bayes model (smoothing 1) on the test split, and with one more cart add
+_NB_SCORED = _BAYES + f""",
+logs AS (SELECT label, {", ".join(f"max(log_prob) FILTER (WHERE slot = '{c}') AS p_{c}" for c in _NUMERIC)},
+                max(log_prob) FILTER (WHERE slot = '(prior)') AS prior FROM params WHERE smoothing = 1 GROUP BY label),
+joint AS (
+  SELECT t.*, p.label AS class, extra, prior + {" + ".join(f"{c} * p_{c}" for c in _NUMERIC)} + extra * p_num_cart_adds
+         + log_prob AS j
+  FROM rounded t, (VALUES (0), (1)) e(extra), logs p JOIN params c ON c.label = p.label AND c.smoothing = 1
+  WHERE NOT {_HASH_SPLIT} AND c.slot = 'main_category=' || main_category),
+odds AS (SELECT user_session, extra, sum(CASE WHEN class = 1 THEN j ELSE -j END) AS d FROM joint GROUP BY ALL),
+probs AS (SELECT user_session, extra, CASE WHEN d > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+                 round(1 / (1 + exp(least(-d, 700))), 6) AS purchase_prob FROM odds),
+scored AS (SELECT r.*, prediction, purchase_prob, CAST(m.idx AS DOUBLE) AS main_category_index
+           FROM rounded r JOIN probs USING (user_session) JOIN labelmap m USING (main_category) WHERE extra = 0)"""
+
+ORACLE_SQL["nb_probability"] = _NB_SCORED + " SELECT user_session, label, prediction, purchase_prob FROM scored"
+ORACLE_SQL["nb_scored_store"] = _NB_SCORED + """
+SELECT user_session, num_views, num_cart_adds, label, prediction, purchase_prob, session_duration, avg_price,
+       main_category, main_category_index, unique_categories FROM scored"""
+ORACLE_SQL["nb_prediction_histogram"] = _NB_SCORED + _hist("purchase_prob", 30, "scored", None)
+ORACLE_SQL["nb_uplift"] = _NB_SCORED + """
+SELECT user_session, a.purchase_prob AS prob_now, b.purchase_prob AS prob_more_cart
+FROM probs a JOIN probs b USING (user_session) WHERE a.extra = 0 AND b.extra = 1"""
+
+ORACLE_SQL["share_top3"] = _BASE + """
+, totals AS (SELECT user_session, sum(n) AS total FROM cc GROUP BY user_session),
+ranked AS (
+  SELECT s.user_session, m.idx, m.label_category,
+         row_number() OVER (PARTITION BY s.user_session ORDER BY coalesce(cc.n, 0) / total DESC, m.idx) AS r
+  FROM catsess s CROSS JOIN catmap m JOIN totals USING (user_session)
+       LEFT JOIN cc ON cc.user_session = s.user_session AND cc.category_main = m.label_category)
+SELECT user_session, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY r) AS indices,
+       string_agg(label_category, ',' ORDER BY r) AS categories
+FROM ranked WHERE r <= 3 GROUP BY user_session"""

@@ -15,10 +15,10 @@ from pyspark.sql.types import StructType
 
 from pyspark.ml.functions import vector_to_array
 
-from basketlens.functions.columns import in_train_split
+from basketlens.functions.columns import in_train_split, lookup_labels, top_k_indices
 from basketlens.operators import bayes, models
 from basketlens.operators.evaluation import accuracy, feature_auc, feature_pr_area
-from basketlens.operators.features import (fit_category_labels, fit_intent_features, label_map,
+from basketlens.operators.features import (fit_category_labels, fit_intent_features, indexer_labels, label_map,
                                            onehot_slots, split_train_test)
 from basketlens.operators.scoring import (decode_predictions, feature_importances,
                                           purchase_uplift, score_category, score_intent, what_if)
@@ -290,6 +290,56 @@ def q_nb_fitted(spark, sf_dir):
     return _nb_rows(runs.filter(F.col("model") == "nb"))
 
 
+def _nb_scored(spark, sf_dir):
+    """Test sessions scored by the fitted naive Bayes run, whose probability has an
+    SQL form; six places are exact."""
+    runs = training.train(spark, sf_dir, "intent", {"nb": models.INTENT_GRIDS["nb"]})
+    model = models.load_run_model(runs.filter("model = 'nb' and params = '1.0_multinomial'").first())
+    _, test = split_train_test(tables.rounded_price(training.intent_sessions(spark, sf_dir)))
+    return model, test, score_intent(model, test).withColumn("purchase_prob", F.round("purchase_prob", 6))
+
+
+def q_nb_probability(spark, sf_dir):
+    """Prediction and class-1 probability of a fitted model, exact."""
+    return _nb_scored(spark, sf_dir)[2].select("user_session", "label", "prediction", "purchase_prob")
+
+
+def q_nb_scored_store(spark, sf_dir):
+    """Scored sessions saved and read back, every column exact."""
+    path = scratch_path(spark, "nb_intents")
+    save_scored_sessions(_nb_scored(spark, sf_dir)[2], path)
+    return read_scored_sessions(spark, path)
+
+
+def q_nb_prediction_histogram(spark, sf_dir):
+    """C12 over an exact probability."""
+    return fn.prediction_histogram(spark.read.parquet(
+        save_scored_sessions(_nb_scored(spark, sf_dir)[2], scratch_path(spark, "nb_intents"))))
+
+
+def q_nb_uplift(spark, sf_dir):
+    """Probability now and with one more cart add."""
+    model, test, _ = _nb_scored(spark, sf_dir)
+    return purchase_uplift(model, test, extra_cart_adds=1).select(
+        "user_session", F.round("prob_now", 6).alias("prob_now"), F.round("prob_more_cart", 6).alias("prob_more_cart"))
+
+
+def q_share_top3(spark, sf_dir):
+    """the three likeliest categories by a probability made from the data, the
+    share of a session's events per category in label order; order and names exact."""
+    cs = training.category_sessions(spark, sf_dir).select("user_session")
+    names = indexer_labels(fit_category_labels(training.category_sessions(spark, sf_dir)))
+    counts = session_category_counts(tables.clean(spark, sf_dir)).filter(F.col("category_main").isNotNull())
+    per = counts.join(cs, "user_session").groupBy("user_session").agg(
+        F.map_from_entries(F.collect_list(F.struct("category_main", "n_events"))).alias("m"),
+        F.sum("n_events").alias("total"))
+    labels = F.array(*map(F.lit, names))
+    prob = F.transform(labels, lambda c: F.coalesce(F.col("m")[c], F.lit(0)) / F.col("total"))
+    top = per.select("user_session", top_k_indices(prob, 3).alias("idx"))
+    return top.select("user_session", F.array_join(F.transform("idx", lambda i: i.cast("string")), ",").alias("indices"),
+                      F.array_join(lookup_labels("idx", labels), ",").alias("categories"))
+
+
 def _nb_rows(runs):
     return runs.select("params", F.round("auc", 9).alias("auc"), F.round("pr_auc", 9).alias("pr_auc"))
 
@@ -629,6 +679,11 @@ QUERIES: dict[str, Query] = {
     "nb_parameters": q_nb_parameters,
     "nb_relational": q_nb_relational,
     "nb_fitted": q_nb_fitted,
+    "nb_probability": q_nb_probability,
+    "nb_scored_store": q_nb_scored_store,
+    "nb_prediction_histogram": q_nb_prediction_histogram,
+    "nb_uplift": q_nb_uplift,
+    "share_top3": q_share_top3,
     "train_rf": _train_one("rf"),
     "train_lr": _train_one("lr"),
     "train_dt": _train_one("dt"),
