@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 
 import brute
@@ -133,6 +134,58 @@ def test_mix(edge_docs, spark):
         assert again == Counter(map(tuple, out))
 
 
+def plain_mix(rows, weights=(5, 2, 1), most=2, shards=16, seed=17, width_of=64):
+    """Words taken per row of (source, size, place in the seeded order), seat by seat
+    and word by word."""
+    from fractions import Fraction
+    sources = sorted({r[0] for r in rows}, key=lambda x: (x is None, x or ""))
+    size = {x: sum(r[1] for r in rows if r[0] == x) for x in sources}
+    weight = {x: weights[i % 3] for i, x in enumerate(sources)}
+    target, left, open_ = {}, Fraction(3, 2) * sum(size.values()), list(sources)
+    while open_:
+        unit = left / sum(weight[x] for x in open_)
+        over = [x for x in open_ if unit * weight[x] > most * size[x]]
+        for x in over or open_:
+            target[x] = Fraction(most * size[x]) if over else unit * weight[x]
+            left -= target[x]
+        open_ = [x for x in open_ if x not in target]
+    width = {x: max(1, min(width_of, size[x] // 64)) for x in sources}
+    blocks = {x: -(-size[x] // width[x]) for x in sources}
+    votes = {x: Fraction(most * blocks[x]) if size[x] and target[x] >= most * size[x] else target[x] / width[x]
+             for x in sources}
+    seats = dict.fromkeys(sources, 0)
+    for _ in range(min(round(float(sum(votes.values()))), sum(most * blocks[x] for x in sources if votes[x]))):
+        free = [x for x in sources if votes[x] and seats[x] < most * blocks[x]]
+        seats[max(free, key=lambda x: (votes[x] / (2 * seats[x] + 1), -sources.index(x)))] += 1
+    taken = [0] * len(rows)
+    for x in sources:
+        a, b = mixing._permutation(seed, x, blocks[x]) if blocks[x] else (1, 0)
+        at = 0
+        for i in sorted((i for i, r in enumerate(rows) if r[0] == x), key=lambda i: rows[i][2]):
+            for word in range(at, at + rows[i][1]):
+                rank = (a * (word // width[x]) + b) % blocks[x]
+                taken[i] += seats[x] // blocks[x] + (rank < seats[x] % blocks[x])
+            at += rows[i][1]
+    return taken, {x: float(target[x]) for x in sources}
+
+
+@pytest.mark.parametrize("bucket_docs", [4000, 5])
+def test_mix_equals_a_seat_by_seat_version(edge_docs, spark, monkeypatch, bucket_docs):
+    from basketlens.llm.common import row_key
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", bucket_docs)
+    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    for docs in (edge_docs.filter("doc_id is null or doc_id <> 30"), small):
+        r1, r2 = row_key("doc_id", "source", "text")
+        keyed = docs.select(r1.alias("r1"), r2.alias("r2"), "source", "text").withColumn(
+            "u", F.xxhash64(F.lit(17), "r1", "r2")).collect()
+        buckets = max(1, len(keyed) // bucket_docs)
+        rows = [(r.source, len(re.findall(r"[^\x20\x09-\x0d]+", r.text or "")), (r.u % buckets, r.u, r.r1, r.r2)) for r in keyed]
+        taken, target = plain_mix(rows)
+        out = mixing.mix(docs).collect()
+        assert Counter((r.r1, r.r2, r.taken) for r in out) == Counter((k.r1, k.r2, t) for k, t in zip(keyed, taken))
+        assert all(abs(r.target - target[r.source]) < 1e-6 for r in out)
+
+
 def test_mixed_documents_follow_the_mix(edge_docs):
     taken = Counter()
     for r in mixing.mix(edge_docs).collect():
