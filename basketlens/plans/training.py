@@ -16,6 +16,7 @@ from basketlens.operators.features import fit_category_labels, split_train_test
 from basketlens.operators.sessions import rollup_features, rollup_labeled, session_rollup
 from basketlens.plans import tables
 from basketlens.sources.sinks import dataset_workspace, materialized
+from basketlens.streaming.serving import ServedModel
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> str:
@@ -94,3 +95,8 @@ def choose_model(spark: SparkSession, sf_dir: str, task: str, model: str | None
         if row is None:
             raise LookupError(f"no {task} runs yet: train first")
     return models.load_run_model(row), row
+
+
+def served(spark: SparkSession, sf_dir: str, task: str) -> ServedModel:
+    """K9 while streams run: the pointer to the run that following streams serve."""
+    return ServedModel(spark, f"{workspace(spark, sf_dir)}/serving/{task}")

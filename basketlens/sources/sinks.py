@@ -68,9 +68,11 @@ def save_scored_sessions(scored: DataFrame, path: str, mode: str = "overwrite")
 
 
 def fingerprint(spark: SparkSession, source: str) -> str:
-    """Changes when files below ``source`` are added, removed or rewritten: bytes,
-    number of files and folders, and the modification times of the folder and
-    its tables.  Answered by the file system, without reading data."""
+    """Changes when files below ``source`` are added, removed or change in size:
+    bytes, number of files and folders, and the modification times of the folder and
+    its tables.  Answered by the file system, without reading data.  A nested file
+    rewritten at the same length is not seen; the incremental roll-up, which lists
+    every file with its time, does see it."""
     path = source[4:] if source.startswith("csv:") else source
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
