@@ -3,8 +3,9 @@
 Documents lie in old shards, each cut into blocks by size class. New shards get
 row capacities (counts at most one apart). A min-cost flow from the blocks'
 rows to the capacities, where staying is free and moving a row costs its block's
-mean bytes, gives the transfers that move the fewest bytes; only files of blocks
-that lose rows are rewritten, and only the moved rows get new files.
+mean bytes, gives the transfers that move the fewest bytes, counted in block means;
+the files of blocks that lose rows are rewritten, rows that stay included, the
+others are left as they are.
 """
 
 from __future__ import annotations

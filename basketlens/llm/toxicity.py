@@ -232,7 +232,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Scores use the text only. Null and empty texts get the score of a text
     without any weighted word. Repeated rows get equal scores; a null doc_id is
     not held out and has no label; an empty table gives no rows. Labels other
-    than 0 and 1 are ignored.
+    than 0 and 1 are ignored; a text with both labels counts as toxic.
     """
     counts, weights, beta = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast((counts, weights, beta))
