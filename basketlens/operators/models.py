@@ -194,11 +194,13 @@ def grid_search(spark: SparkSession, task: str, grids: dict[str, list[tuple]],
 
     def fit(model: str, point: tuple) -> None:
         fitted = make_estimator(task, model, point).fit(train)
-        metrics = evaluate(task, fitted.transform(test))
         run_id = f"{task}-{model}-{params_key(point)}-{uuid.uuid4().hex[:8]}"
         path = f"{model_root}/{run_id}"
-        pipeline = served_pipeline(task, features, fitted, labels)
-        pipeline.write().overwrite().save(path)
+        served_pipeline(task, features, fitted, labels).write().overwrite().save(path)
+        # what is evaluated is what was saved: the saved model has no training summary, which holds
+        # the session, and a session that has observed metrics can't go to the tasks
+        pipeline = PipelineModel.load(path)
+        metrics = evaluate(task, pipeline.stages[len(features.stages)].transform(test))
         row = spark.createDataFrame(
             [(run_id, task, model, params_key(point), param_map(task, model, point),
               estimator_params_json(pipeline), metrics["auc"], metrics["pr_auc"], metrics["accuracy"], path)],

@@ -72,3 +72,13 @@ def test_failed_work_frees_its_point(spark, workdir, monkeypatch):
         with pytest.raises(ValueError):
             models.grid_search(spark, "intent", grid, train, test, f"{workdir}/runs", f"{workdir}/m")
     assert models.grid_search(spark, "intent", grid, train, test, f"{workdir}/runs", f"{workdir}/m").count() == 1
+
+
+def test_training_after_counted_cleaning(spark, workdir):
+    """A session that has observed metrics trains and evaluates models with summaries."""
+    from basketlens.plans import growth
+    assert growth.clean_and_count(spark, tables.raw_events(spark, SF_SMALL)).count() > 0
+    train, test = split_train_test(tables.labeled(spark, SF_SMALL))
+    grid = {"lr": [(50, 0.0, 0.0)], "rf": [(5, 3, 32)]}
+    runs = models.grid_search(spark, "intent", grid, train, test, f"{workdir}/runs", f"{workdir}/m")
+    assert runs.filter("auc is not null").count() == 2
