@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import lookup_join, row_key, stored
+from basketlens.llm.common import give_back, lookup_join, row_key, stored
 from basketlens.llm.components import components
 from basketlens.llm.shingles import BANDS, REGISTERS, band_keys, digest, shingle_sets, similarity, sketch
 
@@ -160,6 +160,7 @@ def _bucket_edges(batches):
             yield _edges(a, b)
             a, b = [], []
     yield _edges(a, b)
+    give_back()
 
 
 def _verified_edges(percent: int):
@@ -172,21 +173,33 @@ def _verified_edges(percent: int):
             sketches = np.stack([sketch(s) for s in sets])
             _, codes = np.unique(np.concatenate(sets), return_inverse=True)
             starts = np.concatenate([[0], np.cumsum(sizes)])
-            marks = np.zeros(int(codes.max()) + 1, bool)
+            marks = np.zeros(int(codes.max()) + 2, bool)
+            # small sets side by side, filled up with a code that nobody has
+            place = np.flatnonzero(sizes < SMALL)
+            row_of = np.zeros(len(sizes), np.int64)
+            row_of[place] = np.arange(len(place))
+            short = np.full((len(place), SMALL), len(marks) - 1, np.int32)
+            short[np.arange(SMALL) < sizes[place][:, None]] = codes[np.repeat(sizes < SMALL, sizes)]
 
             def linked(p, rest):
                 small, large = np.minimum(sizes[p], sizes[rest]), np.maximum(sizes[p], sizes[rest])
                 ok = 100 * small >= percent * large
-                ok[ok] = (large[ok] < SMALL) | (similarity(sketches[p], sketches[rest[ok]], large[ok]) >= LIKELY)
+                tiny = np.flatnonzero(ok & (large < SMALL))
+                ok[tiny] = False
+                ok[ok] = similarity(sketches[p], sketches[rest[ok]], large[ok]) >= LIKELY
                 mine = codes[starts[p]:starts[p + 1]]
                 marks[mine] = True
+                both = marks[short[row_of[rest[tiny]]]].sum(axis=1)
+                found = 100 * both >= percent * (sizes[p] + sizes[rest[tiny]] - both)
                 for k in np.flatnonzero(ok):
                     both = int(marks[codes[starts[rest[k]]:starts[rest[k] + 1]]].sum())
                     ok[k] = 100 * both >= percent * (sizes[p] + sizes[rest[k]] - both)
                 marks[mine] = False
+                ok[tiny] = found
                 return ok
 
             yield _edges(*_stars(table["node"].to_numpy(), _forest(len(sizes), linked, _hubs_first(sketches))))
+        give_back()
     return run
 
 
