@@ -134,6 +134,35 @@ def test_mix(edge_docs, spark):
         assert again == Counter(map(tuple, out))
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_clusters_of_small_and_large_sets_are_verified_whole(seed):
+    """Sets below and above the size from which estimates decide: the links of one
+    cluster are those of all pairs."""
+    import random
+
+    import pyarrow as pa
+
+    from basketlens.llm import near_duplicates as nd
+    rng = random.Random(seed)
+    bases = [rng.sample(range(60), rng.choice([1, 3, 4, 8, 30, 31, 32, 40])) for _ in range(50)]
+    plain = [frozenset(x) for b in bases for x in (b, b[:-1] or b, [*b, 99])]
+    sets = [np.array(sorted(x * 0x9E3779B97F4A7C15 % 2 ** 64 for x in s), np.uint64) for s in plain]
+    table = pa.record_batch([pa.array([1] * len(sets)), pa.array([0] * len(sets)), pa.array([0] * len(sets)),
+                             pa.array(range(len(sets))), pa.array([s.tobytes() for s in sets])],
+                            ["cluster", "i", "j", "node", "shingles"])
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for out in nd._verified_edges(75)(iter([table])):
+        for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist()):
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert [find(i) for i in range(len(sets))] == brute.components(plain)
+
+
 def plain_mix(rows, weights=(5, 2, 1), most=2, shards=16, seed=17, width_of=64):
     """Words taken per row of (source, size, place in the seeded order), seat by seat
     and word by word."""
