@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from basketlens.sources.commits import create_exclusive, file_system
 
-LEASE_SECONDS = 600.0
+LEASE_SECONDS = 180.0
 
 
 class Claims:
