@@ -161,3 +161,16 @@ def test_exact_auc_continuous_scores_bucketed(spark, rows, buckets):
     grouped = exact_auc(df.withColumn("g", F.lit("a")), "score", by=["g"],
                         buckets=buckets).first()["auc"]
     assert abs(grouped - got) < 1e-12
+
+
+def test_forest_rows_keep_their_node(spark):
+    """Deep forests and trees don't send all nodes grown so far with every pass; the forest is the same."""
+    tr, _ = split_train_test(tables.labeled(spark, SF_SMALL))
+    vectors = models.feature_pipeline("intent").fit(tr).transform(tr).select("features", "label").persist()
+    forest = models.make_estimator("intent", "rf", (5, 12, 32))
+    assert forest.getCacheNodeIds() and models.make_estimator("category", "dt", (10,)).getCacheNodeIds()
+
+    def text(estimator):
+        return estimator.fit(vectors).toDebugString.split("\n", 1)[1]
+
+    assert text(forest) == text(forest.copy({forest.cacheNodeIds: False}))
