@@ -174,3 +174,23 @@ def test_forest_rows_keep_their_node(spark):
         return estimator.fit(vectors).toDebugString.split("\n", 1)[1]
 
     assert text(forest) == text(forest.copy({forest.cacheNodeIds: False}))
+
+
+def test_fits_start_from_a_short_lineage(spark):
+    """Tasks of a fit don't get the way back to the session table; rows and partitions stay."""
+    from basketlens.plans import training
+    lab = training.intent_sessions(spark, SF_SMALL)
+    vectors = models.feature_pipeline("intent").fit(lab).transform(lab).select("features", "label")
+
+    def dealt(frame):
+        return sorted((r["p"], str(r["features"]), r["label"])
+                      for r in frame.withColumn("p", F.spark_partition_id()).collect())
+
+    frame = models.fit_frame(vectors)
+    assert vectors.inputFiles() and not frame.inputFiles()
+    before = vectors.persist()
+    try:
+        assert frame.rdd.getNumPartitions() == before.rdd.getNumPartitions()
+        assert dealt(frame) == dealt(before)
+    finally:
+        before.unpersist(), frame.unpersist()
