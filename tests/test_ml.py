@@ -194,3 +194,30 @@ def test_fits_start_from_a_short_lineage(spark):
         assert dealt(frame) == dealt(before)
     finally:
         before.unpersist(), frame.unpersist()
+
+
+def test_boosted_points_of_other_length_are_one_fit(spark, workdir, monkeypatch):
+    """The shorter point gets the longer fit's first trees: the model, scores and saved pipeline of a fit of its own."""
+    import json
+    tr, te = split_train_test(tables.labeled(spark, SF_SMALL))
+    features = models.feature_pipeline("intent").fit(tr)
+    vectors = models.fit_frame(features.transform(tr))
+    own = models.make_estimator("intent", "gbt", (2, 4, 32)).fit(vectors)
+    scores = models.evaluate("intent", own.transform(features.transform(te)))
+    fits, fit = [], models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, frame: fits.append(self.getMaxIter()) or fit(self, frame))
+    grid = {"gbt": [(2, 4, 32), (5, 4, 32), (3, 2, 32)], "dt": [(5, 32)]}
+    runs = models.grid_search(spark, "intent", grid, tr, te, f"{workdir}/runs", f"{workdir}/models", features=features)
+    assert sorted(fits) == [3, 5] and runs.count() == 4
+    row = runs.filter("model = 'gbt' and params = '2_4_32'").first()
+    saved = models.load_run_model(row).stages[-1]
+    assert saved.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+    assert (saved.numFeatures, saved.treeWeights, saved.featureImportances) == (
+        own.numFeatures, own.treeWeights, own.featureImportances)
+    assert json.loads(row["model_params"]) == {p.name: v for p, v in own.extractParamMap().items()}
+    assert row["auc"] == scores["auc"] and abs(row["pr_auc"] - scores["pr_auc"]) < 1e-12
+    # a shorter point that comes later is a fit of its own, like any pending one
+    later = {"gbt": [(1, 4, 32), (5, 4, 32)]}
+    models.grid_search(spark, "intent", later, tr, te, f"{workdir}/runs", f"{workdir}/models", features=features)
+    assert fits[2:] == [1]
+    vectors.unpersist()
