@@ -221,3 +221,31 @@ def test_boosted_points_of_other_length_are_one_fit(spark, workdir, monkeypatch)
     models.grid_search(spark, "intent", later, tr, te, f"{workdir}/runs", f"{workdir}/models", features=features)
     assert fits[2:] == [1]
     vectors.unpersist()
+
+
+def test_both_areas_come_from_one_sorted_pass(spark):
+    """Scoring, counting and sorting run once for the two areas, which are the evaluators' own."""
+    rng = random.Random(11)
+    rows = [(float(rng.randint(0, 40)), float(rng.randint(0, 1))) for _ in range(500)]
+    scored = spark.createDataFrame(rows, "rawPrediction double, label double").repartition(4).persist()
+    sc = spark.sparkContext
+
+    def jobs(name, work):
+        sc.setJobGroup(name, name)
+        try:
+            return work(), len(sc.statusTracker().getJobIdsForGroup(name))
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+
+    def area(name):
+        return models.BinaryClassificationEvaluator(labelCol="label", metricName=name, numBins=0).evaluate(scored)
+
+    try:
+        scored.count()
+        roc, one = jobs("area-roc", lambda: area("areaUnderROC"))
+        pr, other = jobs("area-pr", lambda: area("areaUnderPR"))
+        got, both = jobs("areas", lambda: models.evaluate("intent", scored))
+    finally:
+        scored.unpersist()
+    assert abs(got["auc"] - roc) < 1e-12 and abs(got["pr_auc"] - pr) < 1e-12 and got["accuracy"] is None
+    assert both < one + other
