@@ -249,3 +249,59 @@ def test_both_areas_come_from_one_sorted_pass(spark):
         scored.unpersist()
     assert abs(got["auc"] - roc) < 1e-12 and abs(got["pr_auc"] - pr) < 1e-12 and got["accuracy"] is None
     assert both < one + other
+
+
+def test_merges_of_a_fit_take_a_task_per_core(spark, workdir):
+    """The statistics of a pass are merged in as many tasks as there are cores, not as the frame has partitions; the trees stay."""
+    tr, te = split_train_test(tables.labeled(spark, SF_SMALL))
+    features = models.feature_pipeline("intent").fit(tr)
+    tr, te = tr.repartition(12, "user_session"), te.repartition(3, "user_session")
+    vectors = models.fit_frame(features.transform(tr))
+    sc, grid = spark.sparkContext, {"gbt": [(3, 4, 32)]}
+
+    def tasks(name, work):
+        """What ``work`` returns, and the tasks of the stages that read rows and of those that merge."""
+        sc.setJobGroup(name, name)
+        try:
+            out, tracker = work(), sc.statusTracker()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(name)
+                  for s in (tracker.getJobInfo(j).stageIds if tracker.getJobInfo(j) else [])]
+        # a pass: a stage that reads the rows and one that merges; the merge of the split candidates is not one
+        return out, *({s.numTasks for s in stages if s and s.name == f"{kind} at RandomForest.scala:{line}"}
+                      for kind, line in (("mapPartitions", 674), ("collectAsMap", 693)))
+
+    try:
+        own, rows, merges = tasks("own", lambda: models.make_estimator("intent", "gbt", grid["gbt"][0]).fit(vectors))
+        assert (rows, merges) == ({12}, {12})
+        runs, rows, merges = tasks("grid", lambda: models.grid_search(
+            spark, "intent", grid, tr, te, f"{workdir}/runs", f"{workdir}/models", features=features))
+    finally:
+        vectors.unpersist()
+    assert (rows, merges) == ({12}, {sc.defaultParallelism}) and sc.defaultParallelism < 12
+    saved = models.load_run_model(runs.first()).stages[-1]
+    assert saved.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+    assert sc._conf.get("spark.default.parallelism") is None
+
+
+def test_merges_keep_a_deployers_setting(spark):
+    from basketlens.session import merges_by_cores, merges_by_partitions
+    conf = spark.sparkContext._jsc.sc().conf()
+    key, cores = "spark.default.parallelism", str(spark.sparkContext.defaultParallelism)
+    with merges_by_cores(spark):
+        with merges_by_cores(spark):
+            assert conf.get(key) == cores
+        with merges_by_partitions(spark):
+            assert not conf.contains(key)
+            with merges_by_cores(spark):
+                assert not conf.contains(key)
+        assert conf.get(key) == cores                       # the outer one still runs
+    assert not conf.contains(key)
+    conf.set(key, "3")
+    try:
+        with merges_by_cores(spark), merges_by_partitions(spark):
+            assert conf.get(key) == "3"
+        assert conf.get(key) == "3"
+    finally:
+        conf.remove(key)
